@@ -83,19 +83,16 @@ def replace_by_fan_out(
     parents = done.where((F.col("kind") == "object") & (F.col("op") == "CREATE")).select(
         "pid", F.col("ready_at").alias("at"), (F.col("seq") + F.lit(FAN_OUT_SEQ)).alias("seq")
     )
-    marked = mark_interrupted(candidates, parents, "pid", *delays_s, salts=salts)
-    # Only a successful parent fans out, and only to the datastreams it lists.
-    lists_it = salted_lookup(
-        marked.where("interrupted"), listed.select("doc_id", F.lit(True).alias("_listed")), ["doc_id"], spread=["seq"],
-        salts=salts,
-    )
-    checked = salted_lookup(
-        lists_it, good_parents.select("pid", F.lit(True).alias("_good")), ["pid"], spread=["doc_id", "seq"], salts=salts
-    )
-    stays = ~F.coalesce(F.col("_listed") & F.col("_good"), F.lit(False))
-    return others.unionByName(marked.where(~F.col("interrupted")).drop("interrupted")).unionByName(
-        checked.where(stays).select(*jobs.columns)
-    )
+    marked = mark_interrupted(candidates, parents, "pid", *delays_s)
+    # Only a successful parent fans out, and only to the datastreams it lists. The listing is cut down to the candidates'
+    # documents first, so that only few narrow rows are repeated for the salts.
+    asked = candidates.select("doc_id").distinct()
+    known = listed.join(asked, "doc_id", "left_semi").select("doc_id", F.lit(True).alias("_listed"))
+    good = good_parents.select("pid", F.lit(True).alias("_good"))
+    checked = salted_lookup(marked, known, ["doc_id"], spread=["seq"], salts=salts)
+    checked = salted_lookup(checked, good, ["pid"], spread=["doc_id", "seq"], salts=salts)
+    replaced = F.col("interrupted") & F.coalesce(F.col("_listed") & F.col("_good"), F.lit(False))
+    return others.unionByName(checked.where(~replaced).select(*jobs.columns))
 
 
 def count_after(events: DataFrame, probes: DataFrame, on: str) -> DataFrame:
@@ -239,11 +236,13 @@ def apply_jobs(
     remaining = unreplaced.where(is_due)
     written = keep(_summaries(remaining, good_parents, listed, mode, salts), "written")
 
-    object_docs = written.where(F.col("kind") == "object").join(
-        objects.select("pid", "doc", "error_message"), "pid", "left"
+    # Stored, so that the planner knows how few documents change when it joins them with the tables.
+    object_docs = keep(
+        written.where(F.col("kind") == "object").join(objects.select("pid", "doc", "error_message"), "pid", "left"),
+        "object-documents",
     )
     datastream_docs = keep(
-        build_datastream_docs(written.where(F.col("kind") == "datastream"), repository), "datastreams"
+        build_datastream_docs(written.where(F.col("kind") == "datastream"), repository), "datastream-documents"
     )
     built = {"object": object_docs, "datastream": datastream_docs}
     for kind, handler in (handlers or {}).items():

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import CORRECTED, check_mode
 from shelfmark.functions.times import ntz, time_slice
-from shelfmark.operators.skew import salted_lookup
 
 REFERENCE_KEY = ("op", "pid", "dsid")
 CORRECTED_KEY = ("kind", "op", "doc_id")
@@ -53,11 +52,21 @@ def debounce(
 ) -> DataFrame:
     """Jobs that no equal job replaces: none arrives after them and before ``ready_at``.
 
-    ``min_delay_s`` and ``max_delay_s`` bound the non-zero waits. A job without a wait is always released. Of the others at
-    most the last of its key and slice can be released, since a later one in the same slice arrives within the wait; it is
-    released when the key's next arrival, in this slice's successors, is not before ``ready_at``.
+    ``min_delay_s`` and ``max_delay_s`` bound the non-zero waits. A job without a wait is always released.
+    """
+    return _instant(jobs).unionByName(_outlasting(jobs, key, min_delay_s, max_delay_s))
+
+
+def _instant(jobs: DataFrame) -> DataFrame:
+    return jobs.where(F.col("delay_s") == 0)
+
+
+def _outlasting(jobs: DataFrame, key: tuple[str, ...], min_delay_s: int, max_delay_s: int) -> DataFrame:
+    """Waiting jobs that are not replaced.
+
+    At most the last job of a key and slice can be released, since a later one in the same slice arrives within the wait; it
+    is released when the key's next arrival, in one of the following slices, is not before ``ready_at``.
     """
-    instant = jobs.where(F.col("delay_s") == 0)
     keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
     names = [f"_k{i}" for i in range(len(key))]
     waiting = F.when(F.col("delay_s") > 0, F.struct(*jobs.columns))
@@ -75,16 +84,16 @@ def debounce(
         (F.col("_own") == F.col("_chunk")) & F.col("job").isNotNull()
     )
     released = judged.where(F.col("_next").isNull() | (F.col("_next") >= F.col("job.ready_at")))
-    return instant.unionByName(released.select("job.*"))
+    return released.select("job.*")
 
 
 def mark_interrupted(
-    jobs: DataFrame, events: DataFrame, on: str, min_delay_s: int = 1, max_delay_s: int = 5, salts: int = 8
+    jobs: DataFrame, events: DataFrame, on: str, min_delay_s: int = 1, max_delay_s: int = 5
 ) -> DataFrame:
     """Add ``interrupted``: an event (``on, at, seq``) of the same ``on`` falls between a job's position and ``ready_at``.
 
     Events are reduced per ``on`` and slice and announced to the slices whose jobs can still be waiting for them. Jobs then
-    look up one row each, so crowded values of ``on`` are spread over tasks.
+    look up one row of their own slice, so a crowded value of ``on`` is spread over its slices.
     """
     reach = math.ceil(max_delay_s / min_delay_s)
     per_slice = events.groupBy(on, time_slice(F.col("at"), min_delay_s).alias("_at_slice")).agg(
@@ -98,10 +107,8 @@ def mark_interrupted(
             F.min(F.when(F.col("_slice") < F.col("_at_slice"), F.col("first"))).alias("_later"),
         )
     )
-    looked_up = salted_lookup(
-        jobs.withColumn("_slice", _checked_slice(min_delay_s, max_delay_s)), announced, [on, "_slice"],
-        spread=["doc_id", "seq"], salts=salts,
-    )
+    sliced = jobs.withColumn("_slice", _checked_slice(min_delay_s, max_delay_s))
+    looked_up = sliced.join(announced, [on, "_slice"], "left")
     hit = (F.col("_same_slice") > position()) | (F.col("_later") < F.col("ready_at"))
     return looked_up.select(
         *jobs.columns, ((F.col("delay_s") > 0) & F.coalesce(hit, F.lit(False))).alias("interrupted")
@@ -109,31 +116,28 @@ def mark_interrupted(
 
 
 def cancel_deleted(
-    jobs: DataFrame, feed: DataFrame, min_delay_s: int = 1, max_delay_s: int = 5, salts: int = 8
+    waiting: DataFrame, feed: DataFrame, min_delay_s: int = 1, max_delay_s: int = 5
 ) -> DataFrame:
-    """Drop jobs still waiting when their object, or their own datastream, is deleted (``corrected`` mode).
+    """Drop waiting jobs whose object, or own datastream, is deleted before they are ready (``corrected`` mode).
 
-    ``feed`` is the whole feed ``jobs`` were released from; only its DELETEs are read.
+    ``feed`` is the whole feed the jobs come from; only its DELETEs are read.
     """
     deletes = feed.where(F.col("op") == "DELETE")
     events = [F.col("arrival").alias("at"), "seq"]
     objects = deletes.where(F.col("kind") == "object").select("pid", *events)
     datastreams = deletes.where(F.col("kind") != "object").select("doc_id", *events)
-    bounds = {"min_delay_s": min_delay_s, "max_delay_s": max_delay_s, "salts": salts}
-    kept = mark_interrupted(jobs, objects, "pid", **bounds).where(~F.col("interrupted")).drop("interrupted")
-    own = kept.where(F.col("kind") != "object")
-    survivors = mark_interrupted(own, datastreams, "doc_id", **bounds).where(~F.col("interrupted"))
-    return kept.where(F.col("kind") == "object").unionByName(survivors.drop("interrupted"))
+    bounds = (min_delay_s, max_delay_s)
+    kept = mark_interrupted(waiting, objects, "pid", *bounds).where(~F.col("interrupted")).drop("interrupted")
+    marked = mark_interrupted(kept, datastreams, "doc_id", *bounds)
+    return marked.where((F.col("kind") == "object") | ~F.col("interrupted")).select(*waiting.columns)
 
 
-def settle(
-    feed: DataFrame, mode: str = "reference", min_delay_s: int = 1, max_delay_s: int = 5, salts: int = 8
-) -> DataFrame:
+def settle(feed: DataFrame, mode: str = "reference", min_delay_s: int = 1, max_delay_s: int = 5) -> DataFrame:
     """Jobs of ``feed`` that are carried out: debounced with the mode's key and, if ``corrected``, cancelled by DELETEs."""
-    kept = debounce(feed, job_key(mode), min_delay_s, max_delay_s)
+    waiting = _outlasting(feed, job_key(mode), min_delay_s, max_delay_s)
     if mode == CORRECTED:
-        kept = cancel_deleted(kept, feed, min_delay_s, max_delay_s, salts)
-    return kept
+        waiting = cancel_deleted(waiting, feed, min_delay_s, max_delay_s)
+    return _instant(feed).unionByName(waiting)
 
 
 def due(jobs: DataFrame, now) -> DataFrame:

@@ -15,15 +15,13 @@ def build_postings(docs: DataFrame, fields: dict[str, str], doc_id: str = "doc_i
     """
     texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).alias("text")) for f, c in fields.items()])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(texts).alias("part"))
-    ordered = rows.select("doc_id", "part.field", F.array_sort(terms(F.col("part.text"))).alias("t"))
-    # Last index of every run of equal terms.
-    ends = ordered.where(F.size("t") > 0).select(
-        "doc_id", "field", "t",
-        F.filter(
-            F.sequence(F.lit(1), F.size("t")),
-            lambda i: (i == F.size("t")) | (F.get(F.col("t"), i) != F.get(F.col("t"), i - 1)),
-        ).alias("end"),
+    ordered = rows.select("doc_id", "part.field", F.sort_array(terms(F.col("part.text"))).alias("t"))
+    # Last index of every run of equal terms; none for a text without terms.
+    last_of_run = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("t"), F.lit(1))),
+        lambda i: (i == F.size("t")) | (F.get(F.col("t"), i) != F.get(F.col("t"), i - 1)),
     )
+    ends = ordered.select("doc_id", "field", "t", last_of_run.alias("end"))
     counts = F.transform(
         F.col("end"),
         lambda e, k: F.struct(

@@ -55,7 +55,7 @@ def run_jobs(
     ``store`` writes shared intermediate rows to the scratch folder so that the table writes do not recompute them.
     """
     keep = materialize if store else (lambda df, name: df)
-    settled = keep(settle(feed, cfg.mode, *cfg.delays_s, salts=salts), "settled")
+    settled = keep(settle(feed, cfg.mode, *cfg.delays_s), "settled")
     return apply_jobs(tables, settled, repository, cfg, clock, handlers, transform, now, keep, salts)
 
 

@@ -33,18 +33,10 @@ class Commit:
 
 
 class IndexStore:
-    """``buckets`` is fixed per store; ``spread`` is the number of files a bucket may be split into, which bounds the share
-    of a crowded PID per task."""
+    """``buckets`` is fixed per store."""
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        buckets: int = 64,
-        spread: int = 4,
-        extra: dict[str, str] | None = None,
-    ):
-        self.spark, self.root, self.buckets, self.spread = spark, root.rstrip("/"), buckets, spread
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, extra: dict[str, str] | None = None):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.schemas = {**TABLES, **(extra or {})}
         self.extra = tuple(extra or ())
 
@@ -121,13 +113,14 @@ class IndexStore:
         return Commit(version, batch, clock, dirs)
 
     def _write(self, name: str, df: DataFrame, version: int) -> set[int]:
-        """Write one table's rows bucket by bucket; a document lies with its parent, in one of ``spread`` files."""
+        """Write one table's rows bucket by bucket, so that a document lies with its parent.
+
+        Rebalancing splits a crowded bucket over several tasks and files and joins small ones.
+        """
         path = f"{self.root}/{name}/v={version}"
         columns = StructType.fromDDL(self.schemas[name]).fieldNames()
-        document = "doc_id" if "doc_id" in columns else columns[0]
         routed = df.select(*columns).withColumn("pid_bucket", pid_bucket(F.col(PID_COLUMN.get(name, "PID")), self.buckets))
-        part = F.pmod(F.xxhash64(document), F.lit(self.spread))
-        routed.repartition("pid_bucket", part).write.mode("overwrite").partitionBy("pid_bucket").parquet(path)
+        routed.hint("rebalance", "pid_bucket").write.mode("overwrite").partitionBy("pid_bucket").parquet(path)
         schema = f"{self.schemas[name]}, pid_bucket INT"
         found = self.spark.read.schema(schema).parquet(path).select("pid_bucket").distinct().collect()
         return {r["pid_bucket"] for r in found}

@@ -103,7 +103,7 @@ def test_micro_batches_match_the_model(spark, mode):
     index, profiled, with_content = world(mode, seed=12)
     tables, repository = frames(spark, index, profiled, with_content)
     messages = random_messages(SCENARIOS, seed=6)
-    store = IndexStore(spark, scratch_dir(spark, "store"), buckets=8, spread=2)
+    store = IndexStore(spark, scratch_dir(spark, "store"), buckets=8)
     store.commit(store.ensure(), {k: (df, None) for k, df in tables.named().items()}, batch=-1)
     cfg = PipelineConfig(mode=mode)
     jobs = derive_jobs(spark.createDataFrame(messages, MESSAGE))
