@@ -88,9 +88,8 @@ def index_batch(
         return None
     previous, feed, clock = found
     touched = store.touched(feed)
-    outcome = run_jobs(
-        cfg, feed, store.tables(previous, touched), repository, clock=None if final else clock, **options
-    )
+    nearby = repository.only(touched, store.buckets)
+    outcome = run_jobs(cfg, feed, store.tables(previous, touched), nearby, clock=None if final else clock, **options)
     changed = {name: (df, touched) for name, df in outcome.tables.named().items()}
     return store.commit(previous, {**changed, "pending": (outcome.waiting, None)}, batch_id, clock)
 

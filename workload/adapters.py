@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows with much work each over all cores when their files make fewer tasks; large inputs are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def method_of(event_type: Column, event_id: Column) -> Column:
     return (
         F.when(event_type == "signup", "ingest")

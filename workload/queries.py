@@ -75,7 +75,8 @@ def topic_and_selector(spark, sf):
     FROM messages WHERE msg_id % 97 <> 0""",
 )
 def atom_dsid(spark, sf):
-    usable, _ = msg.split_malformed(msg.parse_atom(ad.with_bodies(ad.messages(spark, sf), damage=True)))
+    plain = ad.spread(ad.messages(spark, sf), "msg_id")
+    usable, _ = msg.split_malformed(msg.parse_atom(ad.with_bodies(plain, damage=True)))
     return usable.select("msg_id", "dsid")
 
 
@@ -308,12 +309,13 @@ def content_docs(spark, sf):
 
 @query("extract_text", sql.EXTRACT_TEXT)
 def extract_page_text(spark, sf):
-    return ad.table(spark, sf, "pages").select("page_id", extract_text(F.col("html"), F.lit("text/html")).alias("content"))
+    html = ad.spread(ad.table(spark, sf, "pages"), "page_id")
+    return html.select("page_id", extract_text(F.col("html"), F.lit("text/html")).alias("content"))
 
 
 @query("extract_xml_text", sql.XML_TEXT)
 def extract_xml_text(spark, sf):
-    bodies = ad.with_bodies(ad.messages(spark, sf))
+    bodies = ad.with_bodies(ad.spread(ad.messages(spark, sf), "msg_id"))
     return bodies.select("msg_id", extract_text(F.col("body"), F.lit("text/xml")).alias("content"))
 
 
@@ -549,4 +551,4 @@ def term_lookup(spark, sf):
 
 @query("postings", sql.POSTINGS)
 def term_postings(spark, sf):
-    return postings.build_postings(ad.table(spark, sf, "documents"), {"text": "text"})
+    return postings.build_postings(ad.spread(ad.table(spark, sf, "documents"), "doc_id"), {"text": "text"})
