@@ -106,7 +106,7 @@ def count_after(events: DataFrame, probes: DataFrame, on: str) -> DataFrame:
     rows = events.select(on, "pos", hour, nothing, F.lit(1).alias("_event")).unionByName(
         probes.select(on, "pos", hour, "doc_id", F.lit(0).alias("_event"))
     )
-    later_in_hour = Window.partitionBy(on, "_hour").orderBy(F.col("pos").desc()).rowsBetween(
+    later_in_hour = Window.partitionBy(on, "_hour").orderBy(F.col("pos").desc(), "_event").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     within = rows.withColumn("_within", F.sum("_event").over(later_in_hour)).where(F.col("_event") == 0)
