@@ -19,7 +19,8 @@ from shelfmark.functions.ids import pid_bucket
 from shelfmark.operators.documents import property_type
 from shelfmark.operators.index_tables import IndexTables
 
-LOG_SCHEMA = "table STRING, bucket INT, dir BIGINT, batch BIGINT, clock TIMESTAMP_NTZ"
+# One log row per commit: the version of the folder that holds each bucket of each table.
+LOG_SCHEMA = "dirs MAP<STRING, MAP<STRING, BIGINT>>, batch BIGINT, clock TIMESTAMP_NTZ"
 TABLES = {"objects": schemas.OBJECTS, "datastreams": schemas.DATASTREAMS, "errors": schemas.ERRORS, "pending": schemas.JOBS}
 PID_COLUMN = {"objects": "PID", "datastreams": "PID", "errors": "PID", "pending": "pid"}
 
@@ -41,22 +42,18 @@ class IndexStore:
         self.extra = tuple(extra or ())
 
     def newest(self) -> Commit | None:
-        """The visible commit: at most tables x buckets log rows are read."""
+        """The visible commit, or nothing before the first one."""
         try:
             log = self.spark.read.schema(f"{LOG_SCHEMA}, v BIGINT").json(f"{self.root}/log")
-            version = log.agg(F.max("v")).first()[0]
+            row = log.orderBy(F.col("v").desc()).first()
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 return None
             raise
-        if version is None:
+        if row is None:
             return None
-        rows = log.where(F.col("v") == version).collect()
-        dirs: dict[str, dict[int, int]] = {name: {} for name in self.schemas}
-        for row in rows:
-            if row["table"] in dirs and row["bucket"] is not None:
-                dirs[row["table"]][row["bucket"]] = row["dir"]
-        return Commit(version, rows[0]["batch"], rows[0]["clock"], dirs)
+        dirs = {t: {int(b): d for b, d in (row["dirs"].get(t) or {}).items()} for t in self.schemas}
+        return Commit(row["v"], row["batch"], row["clock"], dirs)
 
     def ensure(self) -> Commit:
         """Create empty tables where there are none; existing ones are left alone."""
@@ -126,9 +123,8 @@ class IndexStore:
         return {r["pid_bucket"] for r in found}
 
     def _log(self, version: int, batch, clock, dirs: dict[str, dict[int, int]]) -> None:
-        rows = [(t, b, d, batch, clock) for t, per_bucket in dirs.items() for b, d in per_bucket.items()]
-        rows = rows or [(None, None, None, batch, clock)]
-        frame = self.spark.createDataFrame(rows, LOG_SCHEMA)
+        named = {t: {str(b): d for b, d in per_bucket.items()} for t, per_bucket in dirs.items()}
+        frame = self.spark.createDataFrame([(named, batch, clock)], LOG_SCHEMA)
         frame.coalesce(1).write.mode("overwrite").json(f"{self.root}/log/v={version}")
 
 
