@@ -72,6 +72,7 @@ def replace_by_fan_out(
     good_parents: DataFrame,
     listed: DataFrame,
     delays_s: tuple[int, int],
+    keep=lambda df, name: df,
     salts: int = 8,
 ) -> DataFrame:
     """``jobs`` without the waiting datastream CREATEs that give way to the fan-out of their object.
@@ -92,7 +93,7 @@ def replace_by_fan_out(
     checked = salted_lookup(marked, known, ["doc_id"], spread=["seq"], salts=salts)
     checked = salted_lookup(checked, good, ["pid"], spread=["doc_id", "seq"], salts=salts)
     replaced = F.col("interrupted") & F.coalesce(F.col("_listed") & F.col("_good"), F.lit(False))
-    return others.unionByName(checked.where(~replaced).select(*jobs.columns))
+    return others.unionByName(keep(checked.where(~replaced).select(*jobs.columns), "datastream-creates"))
 
 
 def count_after(events: DataFrame, probes: DataFrame, on: str) -> DataFrame:
@@ -143,31 +144,36 @@ def _standing_failures(outcomes: DataFrame, released: DataFrame) -> DataFrame:
     )
 
 
-def _summaries(released: DataFrame, good_parents: DataFrame, listed: DataFrame, mode: str, salts: int) -> DataFrame:
-    """Per written document: writes since it was last removed (``n``), last write and its operation."""
-    is_object = F.col("kind") == "object"
-    removed, own = _last_deletes(released)
-
-    writes = released.where(F.col("op") != "DELETE")
-    with_removed = salted_lookup(writes, removed, ["pid"], spread=["doc_id", "seq"], salts=salts)
-    placed = salted_lookup(with_removed, own, ["kind", "doc_id"], spread=["seq"], salts=salts)
-
-    def removal() -> Column:
-        # Own DELETEs remove the document of user-defined kinds always, of datastreams only in corrected mode.
-        effective = F.col("own") if mode == CORRECTED else F.when(F.col("kind") != "datastream", F.col("own"))
-        return F.greatest(F.col("removed"), effective)
+def _direct_writes(released: DataFrame, removed: DataFrame, own: DataFrame, mode: str, custom: bool, salts: int) -> DataFrame:
+    """Per document written by its own jobs: ``n`` writes since its last removal and the ``last`` write.
 
-    def since(pos: Column) -> Column:
-        return (removal().isNull() | (pos > removal())).cast("bigint")
-
-    grouping = ["kind", "doc_id", "pid", "dsid"]
+    Objects and datastreams are removed with their object, datastreams by their own DELETE only in ``corrected`` mode, and
+    documents of user-defined kinds (``custom``) by their own DELETE alone. A look-up that cannot matter is left out.
+    """
+    is_object = F.col("kind") == "object"
+    is_custom = ~F.col("kind").isin("object", "datastream")
+    writes = released.where(F.col("op") != "DELETE").select("kind", "doc_id", "pid", "dsid", "op", "ready_at", "seq")
+    placed = salted_lookup(writes, removed, ["pid"], spread=["doc_id", "seq"], salts=salts)
+    removal = F.col("removed")
+    if mode == CORRECTED or custom:
+        placed = salted_lookup(placed, own, ["kind", "doc_id"], spread=["seq"], salts=salts)
+        for_streams = F.greatest("removed", "own") if mode == CORRECTED else F.col("removed")
+        removal = F.when(is_object, F.col("removed")).when(is_custom, F.col("own")).otherwise(for_streams)
+    counts = (removal.isNull() | (position() > removal)).cast("bigint")
     # Jobs of one object may come from different datastreams; the document has no datastream id.
-    named = placed.withColumn("_dsid", F.when(is_object, "").otherwise(F.col("dsid")))
-    direct = named.groupBy("kind", "doc_id", "pid", F.col("_dsid").alias("dsid")).agg(
-        F.sum(since(position())).alias("n"),
+    dsid = F.when(is_object, "").otherwise(F.col("dsid"))
+    return placed.groupBy("kind", "doc_id", "pid", dsid.alias("_dsid")).agg(
+        F.sum(counts).alias("n"),
         F.max(F.struct(position().alias("pos"), "op", F.col("dsid").alias("job_dsid"))).alias("last"),
-    )
-    creates = released.where(is_object & (F.col("op") == "CREATE")).select("pid", "seq", fan_out_position().alias("pos"))
+    ).withColumnRenamed("_dsid", "dsid")
+
+
+def _fanned_out(
+    released: DataFrame, good_parents: DataFrame, listed: DataFrame, removed: DataFrame, own: DataFrame, mode: str, salts: int
+) -> DataFrame:
+    """The same per datastream written by the fan-out of its object: counted per object, listed once per datastream."""
+    is_create = (F.col("kind") == "object") & (F.col("op") == "CREATE")
+    creates = released.where(is_create).select("pid", "seq", fan_out_position().alias("pos"))
     alive = salted_lookup(creates, removed, ["pid"], spread=["seq"], salts=salts).where(
         F.col("removed").isNull() | (F.col("pos") > F.col("removed"))
     )
@@ -176,32 +182,32 @@ def _summaries(released: DataFrame, good_parents: DataFrame, listed: DataFrame,
         .agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("pos"), F.min("pos").alias("_first"))
         .join(good_parents.select("pid"), "pid", "left_semi")
     )
-    children = salted_lookup(listed, parents, ["pid"], spread=["dsid"], how="inner", salts=salts).join(
-        own.where(F.col("kind") == "datastream").select("doc_id", "own"), "doc_id", "left"
-    )
-    columns = [
-        *grouping, "n",
+    children = salted_lookup(listed, parents, ["pid"], spread=["dsid"], how="inner", salts=salts)
+    if mode == CORRECTED:
+        # A datastream's own DELETE restarts its count; only where CREATEs lie on both sides of it they are counted again.
+        deleted = children.join(own.where(F.col("kind") == "datastream").select("doc_id", "own"), "doc_id", "left")
+        untouched = F.col("own").isNull() | (F.col("own") < F.col("_first"))
+        split = ~untouched & (F.col("own") < F.col("pos"))
+        probes = deleted.where(split).select("pid", "doc_id", F.col("own").alias("pos"))
+        recount = count_after(alive.select("pid", "pos"), probes, "pid")
+        n = F.when(untouched, F.col("n")).when(split, F.col("n_after")).otherwise(0)
+        children = deleted.join(recount, "doc_id", "left").withColumn("n", n)
+    return children.select(
+        "kind", "doc_id", "pid", "dsid", "n",
         F.struct("pos", F.lit("CREATE").alias("op"), F.col("dsid").alias("job_dsid")).alias("last"),
-    ]
-    if mode != CORRECTED:
-        return _merge(direct, children.select(*columns), grouping)
-    # A datastream's own DELETE restarts its count; only where CREATEs lie on both sides of it they are counted again.
-    untouched = F.col("own").isNull() | (F.col("own") < F.col("_first"))
-    split = ~untouched & (F.col("own") < F.col("pos"))
-    probes = children.where(split).select("pid", "doc_id", F.col("own").alias("pos"))
-    recount = count_after(alive.select("pid", "pos"), probes, "pid")
-    recounted = children.where(split).drop("n").join(recount, "doc_id").withColumnRenamed("n_after", "n")
-    before = children.where(~untouched & ~split).withColumn("n", F.lit(0).cast("bigint"))
-    parts = [children.where(untouched), recounted, before]
-    return _merge(direct, *[p.select(*columns) for p in parts], grouping)
-
-
-def _merge(direct: DataFrame, *rest) -> DataFrame:
-    *others, grouping = rest
-    merged = direct
-    for other in others:
-        merged = merged.unionByName(other)
-    return merged.groupBy(*grouping).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    )
+
+
+def _written(
+    released: DataFrame, good_parents: DataFrame, listed: DataFrame, mode: str, custom: bool, salts: int
+) -> DataFrame:
+    """Per written document: writes since it was last removed (``n``) and its ``last`` write."""
+    removed, own = _last_deletes(released)
+    direct = _direct_writes(released, removed, own, mode, custom, salts)
+    fanned = _fanned_out(released, good_parents, listed, removed, own, mode, salts)
+    return direct.unionByName(fanned).groupBy("kind", "doc_id", "pid", "dsid").agg(
+        F.sum("n").alias("n"), F.max("last").alias("last")
+    )
 
 
 def apply_jobs(
@@ -232,9 +238,9 @@ def apply_jobs(
     objects = keep(build_object_docs(wanted, repository, cfg, transform), "objects")
     good_parents, _ = documents.split_failures(objects)
 
-    unreplaced = keep(replace_by_fan_out(settled, due, good_parents, listed, cfg.delays_s, salts), "jobs")
+    unreplaced = replace_by_fan_out(settled, due, good_parents, listed, cfg.delays_s, keep, salts)
     remaining = unreplaced.where(is_due)
-    written = keep(_summaries(remaining, good_parents, listed, mode, salts), "written")
+    written = keep(_written(remaining, good_parents, listed, mode, bool(handlers), salts), "written")
 
     # Stored, so that the planner knows how few documents change when it joins them with the tables.
     object_docs = keep(
