@@ -259,7 +259,10 @@ def apply_jobs(
     after = index_tables.delete_cascade(tables, deletes.where(F.col("kind") == "object"))
     after = index_tables.delete_datastreams(after, deletes.where(F.col("kind") == "datastream"), mode)
 
-    new_objects, object_result = index_tables.upsert(after.objects, _changes(object_docs, OBJECT_COLUMNS, "_dissemination"), writes="n")
+    object_changes = _changes(object_docs, OBJECT_COLUMNS, "_dissemination")
+    typed = {name: kind for name, kind in cfg.properties.items() if name in after.objects.columns}
+    object_changes = documents.typed_properties(object_changes, typed)
+    new_objects, object_result = index_tables.upsert(after.objects, object_changes, writes="n")
     new_datastreams, datastream_result = index_tables.upsert(
         after.datastreams, _changes(datastream_docs, DATASTREAM_COLUMNS, "CONTENT"), writes="n"
     )

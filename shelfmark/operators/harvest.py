@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import CORRECTED, REFERENCE, check_mode
 from shelfmark.functions.times import from_bound, from_text, iso_utc, ntz, plus_seconds, token_valid
+from shelfmark.operators.skew import salted_lookup
 
 STATE_COLUMNS = ("source", "ts", "expiration_date", "resumption_token")
 
@@ -69,31 +70,52 @@ def next_run_at(last_run: DataFrame, now, interval_s: float) -> DataFrame:
 
 
 def latest_page(states: DataFrame) -> DataFrame:
-    """The last page read of each source; reduced per task before the shuffle."""
-    return (
-        states.groupBy("source")
-        .agg(F.max_by(F.struct(*[c for c in states.columns if c != "source"]), F.struct("request_at", "page_no")).alias("s"))
-        .select("source", "s.*")
+    """The last page read of each source, with the first request of the list it belongs to.
+
+    ``list_start`` is that request as far as it lies among ``states``; ``new_list`` says that an earlier list ended there too.
+    Everything is reduced per task before the shuffle; a source may have any number of pages.
+    """
+    page = F.struct("request_at", "page_no")
+    columns = [c for c in states.columns if c != "source"]
+    latest = states.groupBy("source").agg(F.max_by(F.struct(*columns), page).alias("s"), F.max(page).alias("_last"))
+    finished = states.where(~F.col("failed") & (F.col("resumption_token") == "")).select("source", "page_no", page.alias("_end"))
+    ended = (
+        salted_lookup(finished, latest.select("source", "_last"), ["source"], spread=["page_no"])
+        .where(F.col("_end") < F.col("_last"))
+        .groupBy("source")
+        .agg(F.max("_end").alias("_end"))
+    )
+    current = salted_lookup(states.where(~F.col("failed")), ended, ["source"], spread=["page_no"])
+    starts = (
+        current.where(F.col("_end").isNull() | (page > F.col("_end")))
+        .groupBy("source")
+        .agg(F.min("request_at").alias("list_start"), F.max(F.col("_end").isNotNull()).alias("new_list"))
+    )
+    return latest.join(starts, "source", "left").select(
+        "source", "s.*", "list_start", F.coalesce("new_list", F.lit(False)).alias("new_list")
     )
 
 
 def save_last_run(state: DataFrame, new: DataFrame, mode: str = REFERENCE) -> DataFrame:
-    """State after a run: ``new`` holds ``source, request_at, failed, resumption_token, expiration_date`` per source.
+    """State after a run: ``new`` holds ``source, request_at, failed, resumption_token, expiration_date`` per source, and
+    ``list_start, new_list`` when it stands for several pages (``latest_page``).
 
     ``reference`` stores the empty state after a failure and moves the time with every page. ``corrected`` keeps the previous
     state after a failure and the time of a list's first request while its pages are read.
     """
     check_mode(mode)
+    several = "list_start" in new.columns
+    began = F.coalesce(F.col("list_start"), F.col("request_at")) if several else F.col("request_at")
     result = new.select(
-        "source", F.lit(True).alias("_ran"), "failed", "request_at", F.nullif("resumption_token", F.lit("")).alias("_token"),
+        "source", began.alias("_began"), (F.col("new_list") if several else F.lit(False)).alias("_new_list"), F.lit(True).alias("_ran"), "failed", "request_at", F.nullif("resumption_token", F.lit("")).alias("_token"),
         F.col("expiration_date").alias("_expiration"),
     )
     joined = state.join(result, "source", "full_outer")
     ok = F.col("_ran") & ~F.col("failed")
     ts = F.col("request_at")
     if mode == CORRECTED:
-        continued = token_valid(F.col("resumption_token"), F.col("expiration_date"), F.col("request_at"))
-        ts = F.when(continued & F.col("ts").isNotNull(), F.col("ts")).otherwise(F.col("request_at"))
+        continued = token_valid(F.col("resumption_token"), F.col("expiration_date"), F.col("_began")) & ~F.col("_new_list")
+        ts = F.when(continued & F.col("ts").isNotNull(), F.col("ts")).otherwise(F.col("_began"))
         previous = F.col("_ran").isNull() | F.col("failed")
     else:
         previous = F.col("_ran").isNull()

@@ -21,8 +21,11 @@ from shelfmark.operators.index_tables import IndexTables
 
 # One log row per commit: the version of the folder that holds each bucket of each table.
 LOG_SCHEMA = "dirs MAP<STRING, MAP<STRING, BIGINT>>, batch BIGINT, clock TIMESTAMP_NTZ"
-TABLES = {"objects": schemas.OBJECTS, "datastreams": schemas.DATASTREAMS, "errors": schemas.ERRORS, "pending": schemas.JOBS}
-PID_COLUMN = {"objects": "PID", "datastreams": "PID", "errors": "PID", "pending": "pid"}
+TABLES = {"objects": schemas.OBJECTS, "datastreams": schemas.DATASTREAMS, "errors": schemas.ERRORS}
+# Waiting jobs and harvest states; they are committed together with the index tables.
+STATE = {"pending": schemas.JOBS, "last_run": schemas.LAST_RUN}
+# Column that decides the bucket; user-defined tables use the document id.
+ROUTING = {"objects": "PID", "datastreams": "PID", "errors": "PID", "pending": "pid", "last_run": "source"}
 
 
 @dataclass(frozen=True)
@@ -34,11 +37,19 @@ class Commit:
 
 
 class IndexStore:
-    """``buckets`` is fixed per store."""
+    """``buckets`` is fixed per store; ``extra`` are schemas of tables of user-defined job kinds, ``properties`` the configured
+    dissemination properties, which become typed columns of the object table."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, extra: dict[str, str] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int = 64,
+        extra: dict[str, str] | None = None,
+        properties: dict[str, object] | None = None,
+    ):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.schemas = {**TABLES, **(extra or {})}
+        self.schemas = {**TABLES, **STATE, **(extra or {}), "objects": object_schema(properties)}
         self.extra = tuple(extra or ())
 
     def newest(self) -> Commit | None:
@@ -79,11 +90,11 @@ class IndexStore:
     def lookup(self, table: str, pid: str) -> DataFrame:
         """Documents of one object and its datastreams: reads a single bucket."""
         bucket = self.spark.range(1).select(pid_bucket(F.lit(pid), self.buckets)).first()[0]
-        return self.read(table, buckets={bucket}).where(F.col(PID_COLUMN.get(table, "PID")) == pid)
+        return self.read(table, buckets={bucket}).where(F.col(ROUTING[table]) == pid)
 
     def tables(self, commit: Commit | None = None, buckets: set[int] | None = None) -> IndexTables:
         commit = commit or self.ensure()
-        read = {t: self.read(t, commit, buckets) for t in self.schemas if t != "pending"}
+        read = {t: self.read(t, commit, buckets) for t in self.schemas if t not in STATE}
         return IndexTables(
             read["objects"], read["datastreams"], read["errors"], {t: read[t] for t in self.extra}
         )
@@ -116,7 +127,7 @@ class IndexStore:
         """
         path = f"{self.root}/{name}/v={version}"
         columns = StructType.fromDDL(self.schemas[name]).fieldNames()
-        routed = df.select(*columns).withColumn("pid_bucket", pid_bucket(F.col(PID_COLUMN.get(name, "PID")), self.buckets))
+        routed = df.select(*columns).withColumn("pid_bucket", pid_bucket(F.col(ROUTING.get(name, "doc_id")), self.buckets))
         routed.hint("rebalance", "pid_bucket").write.mode("overwrite").partitionBy("pid_bucket").parquet(path)
         schema = f"{self.schemas[name]}, pid_bucket INT"
         found = self.spark.read.schema(schema).parquet(path).select("pid_bucket").distinct().collect()

@@ -11,15 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from shelfmark import schemas
 from shelfmark.config import PipelineConfig
 from shelfmark.functions.times import ntz
 from shelfmark.operators.debounce import settle
-from shelfmark.operators.filters import JobPredicate, filter_jobs, predicates_from_config
-from shelfmark.plans.batch import message_jobs, run_jobs
+from shelfmark.operators.filters import JobPredicate
+from shelfmark.operators.harvest import latest_page, save_last_run
+from shelfmark.operators.jobs import union_jobs
+from shelfmark.plans.batch import feed_jobs, run_jobs
 from shelfmark.plans.store import Commit, IndexStore
 from shelfmark.session import materialize
+from shelfmark.sources.pages import page_state
 from shelfmark.sources.repository import Repository
 
 
@@ -77,37 +81,56 @@ def index_batch(
     repository: Repository,
     batch_id: int,
     final: bool = False,
+    page_states: DataFrame | None = None,
     **options,
 ) -> Commit | None:
     """One micro-batch: settle waiting and new jobs, carry out the due ones, commit tables and waiting jobs together.
 
+    ``page_states`` are the states of the harvest pages among the batch; the sources' last-run state moves with the commit.
     ``final`` carries out everything, as when no further message is expected.
     """
     found = _next(store, jobs, batch_id)
-    if found is None or found[2] is None:
+    if found is None:
         return None
     previous, feed, clock = found
-    touched = store.touched(feed)
-    nearby = repository.only(touched, store.buckets)
-    outcome = run_jobs(cfg, feed, store.tables(previous, touched), nearby, clock=None if final else clock, **options)
-    changed = {name: (df, touched) for name, df in outcome.tables.named().items()}
-    return store.commit(previous, {**changed, "pending": (outcome.waiting, None)}, batch_id, clock)
+    changed = {}
+    if page_states is not None:
+        state = save_last_run(store.read("last_run", previous), latest_page(page_states), cfg.mode)
+        changed["last_run"] = (state, None)
+    if clock is not None:
+        touched = store.touched(feed)
+        nearby = repository.only(touched, store.buckets)
+        tables = store.tables(previous, touched)
+        outcome = run_jobs(cfg, feed, tables, nearby, clock=None if final else clock, **options)
+        changed.update({name: (df, touched) for name, df in outcome.tables.named().items()})
+        changed["pending"] = (outcome.waiting, None)
+    return store.commit(previous, changed, batch_id, clock)
 
 
 def run_stream(
     cfg: PipelineConfig,
-    messages: DataFrame,
     store: IndexStore,
     repository: Repository,
     checkpoint: str,
+    messages: DataFrame | None = None,
+    pages: DataFrame | None = None,
     predicates: tuple[JobPredicate, ...] = (),
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Keep the store's index tables up to date with a stream of messages."""
+    """Keep the store's index tables up to date with streams of messages, of harvest pages, or of both in one queue."""
+    feeds = {"message": (messages, schemas.MESSAGES), "page": (pages, schemas.HARVEST_PAGES)}
+    wrapped = []
+    for name, (df, _) in feeds.items():
+        if df is not None:
+            absent = {n: F.lit(None).cast(StructType.fromDDL(schema)) for n, (_, schema) in feeds.items()}
+            row = {**absent, name: F.struct(*df.columns)}
+            wrapped.append(df.select(*[value.alias(n) for n, value in row.items()]))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        jobs = filter_jobs(message_jobs(batch, cfg), *predicates_from_config(cfg), *predicates)
-        index_batch(cfg, jobs, store, repository, batch_id, **options)
+        rows = {n: batch.where(F.col(n).isNotNull()).select(f"{n}.*") for n, (df, _) in feeds.items() if df is not None}
+        jobs = feed_jobs(cfg, rows.get("message"), rows.get("page"), predicates)
+        states = page_state(rows["page"]) if "page" in rows else None
+        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, **options)
 
-    return _start(messages, step, checkpoint, trigger)
+    return _start(union_jobs(*wrapped), step, checkpoint, trigger)

@@ -291,8 +291,20 @@ def test_saving_harvest_state(spark):
     assert got["corrected"] == {
         "paging": (before, NOW, "t2"), "failing": (before, None, "t1"), "fresh": (NOW, None, None), "untouched": (before, None, None), "last": (before, None, None)
     }
-    many = new.withColumn("page_no", F.lit(1)).unionByName(new.withColumn("page_no", F.lit(2)).withColumn("resumption_token", F.lit("z")))
-    assert {r["resumption_token"] for r in harvest.latest_page(many).collect()} == {"z"}
+
+
+def test_state_after_several_pages(spark):
+    """The time of a list's first request counts, also when lists end and begin among the pages of one batch."""
+    t = [NOW + dt.timedelta(minutes=i) for i in range(6)]
+    pages = [
+        ("goes_on", 1, t[1], False, "b"), ("goes_on", 2, t[2], False, ""), ("begins", 1, t[1], False, "a"), ("begins", 2, t[2], False, "b"),
+        ("again", 1, t[1], False, ""), ("again", 2, t[3], False, "a"), ("again", 3, t[4], False, ""), ("fails", 1, t[1], False, "a"), ("fails", 2, t[2], True, ""),
+    ]
+    rows = spark.createDataFrame([(*p, None) for p in pages], "source string, page_no bigint, request_at timestamp_ntz, failed boolean, resumption_token string, expiration_date timestamp_ntz")
+    state = spark.createDataFrame([(s, t[0], None, "x") for s in ("goes_on", "again")] + [("fails", t[0], None, None)], schemas.LAST_RUN)
+    got = {m: {r["source"]: (r["ts"], r["resumption_token"]) for r in harvest.save_last_run(state, harvest.latest_page(rows), m).collect()} for m in ("reference", "corrected")}
+    assert got["reference"] == {"goes_on": (t[2], None), "begins": (t[2], "b"), "again": (t[4], None), "fails": (None, None)}
+    assert got["corrected"] == {"goes_on": (t[0], None), "begins": (t[1], "b"), "again": (t[3], None), "fails": (t[0], None)}
 
 
 def test_changed_since_reaches_the_scan(spark):

@@ -10,7 +10,10 @@ from shelfmark.functions.times import ntz
 from shelfmark.operators.jobs import derive_jobs
 from shelfmark.plans.store import IndexStore, object_schema
 from shelfmark.session import scratch_dir
-from shelfmark.streaming.stream import debounce_stream, released_jobs
+from shelfmark.sources.messages import read_messages
+from shelfmark.sources.pages import read_harvest_pages
+from shelfmark.sources.repository import Repository
+from shelfmark.streaming.stream import debounce_stream, released_jobs, run_stream
 
 MESSAGE = "msg_id BIGINT, pid STRING, method_name STRING, dsid STRING, arrival TIMESTAMP_NTZ"
 
@@ -70,3 +73,29 @@ def test_object_schema_takes_user_properties(spark):
     schema = object_schema({"PUB_TYPE": {"type": "string"}, "YEAR": {"type": "integer"}})
     fields = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], schema).schema}
     assert fields["PUB_TYPE"] == "string" and fields["YEAR"] == "int" and fields["_dissemination"].endswith("variant>")
+
+
+def test_messages_and_pages_feed_one_index(spark):
+    """Both feeds as streams; typed properties are stored and the harvest state moves with the commit."""
+    root = scratch_dir(spark, "both")
+    listing = '<OAI-PMH><ListIdentifiers><header><identifier>oai:x:p:1</identifier></header><resumptionToken>t1</resumptionToken></ListIdentifiers></OAI-PMH>'
+    body = '<entry><category term="p:2" scheme="fedora-types:pid"/></entry>'
+    spark.createDataFrame([(1, "fedora.apim.update", "p:2", "ingest", body, at(0)), (2, "fedora.apim.update", "p:3", "ingest", "<broken", at(9))], schemas.MESSAGES).write.json(f"{root}/messages")
+    spark.createDataFrame([("s", 1, at(3), 200, listing)], schemas.HARVEST_PAGES).write.json(f"{root}/pages")
+    pids = ["p:1", "p:2"]
+    repository = Repository(
+        spark.createDataFrame([(p, "A", "label", "o", at(0), at(0)) for p in pids], schemas.OBJECT_PROFILES),
+        spark.createDataFrame([("p:1", "DC", "l", "v", at(0), "A", "text/plain", None, "M", 3, "true", *[None] * 5)], schemas.DATASTREAM_PROFILES),
+        spark.createDataFrame([("p:1", "DC", 200, bytearray(b"abc"))], schemas.CONTENTS),
+        spark.createDataFrame([(p, "s:1", "m", 200, '{"PUB_TYPE": "book"}') for p in pids], schemas.DISSEMINATIONS),
+    )
+    cfg = PipelineConfig(mode="corrected", sdef_pid="s:1", method="m", properties={"PUB_TYPE": {"type": "string"}})
+    store = IndexStore(spark, f"{root}/store", buckets=4, properties=cfg.properties)
+    feeds = {"messages": read_messages(spark, f"{root}/messages", streaming=True), "pages": read_harvest_pages(spark, f"{root}/pages", streaming=True)}
+    run_stream(cfg, store, repository, f"{root}/checkpoint", **feeds).awaitTermination()
+    tables = store.tables()
+    assert {(r["doc_id"], r["PUB_TYPE"], r["_version"]) for r in tables.objects.collect()} == {("p:1", "book", 1), ("p:2", "book", 1)}
+    assert {r["doc_id"]: r["CONTENT"]["_content"] for r in tables.datastreams.collect()} == {"p:1:DC": "abc"}
+    assert [tuple(r) for r in store.read("last_run").collect()] == [("s", at(3), None, "t1")]
+    # The broken ingest still makes an object job, which waits for its time.
+    assert tables.errors.count() == 0 and [r["pid"] for r in store.read("pending").collect()] == ["p:3"]

@@ -464,7 +464,7 @@ def restart_idempotent(spark, sf):
     store, cfg, repository = IndexStore(spark, f"{root}/store", buckets=8), ad.config(), ad.repository(spark, sf)
     raw = ad.with_bodies(ad.messages_from_events(event_stream(spark, sf)))
     for _ in range(2):  # the second run finds nothing new behind its checkpoint
-        stream.run_stream(cfg, raw, store, repository, f"{root}/checkpoint").awaitTermination()
+        stream.run_stream(cfg, store, repository, f"{root}/checkpoint", messages=raw).awaitTermination()
     stream.index_batch(cfg, feed(spark, sf), store, repository, batch_id=0)  # committed before, hence skipped
     stream.index_batch(cfg, feed(spark, sf).limit(0), store, repository, batch_id=1, final=True)
     return flat_tables(store.tables())
