@@ -7,6 +7,7 @@ same version again. One writer at a time.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,7 @@ from shelfmark import schemas
 from shelfmark.functions.ids import pid_bucket
 from shelfmark.operators.documents import property_type
 from shelfmark.operators.index_tables import IndexTables
+from shelfmark.session import empty_frame
 
 # One log row per commit: the version of the folder that holds each bucket of each table.
 LOG_SCHEMA = "dirs MAP<STRING, MAP<STRING, BIGINT>>, batch BIGINT, clock TIMESTAMP_NTZ"
@@ -84,7 +86,7 @@ class IndexStore:
             if buckets is None or b in buckets
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, self.schemas[table])
         return self.spark.read.schema(schema).parquet(*paths)
 
     def lookup(self, table: str, pid: str) -> DataFrame:
@@ -135,8 +137,9 @@ class IndexStore:
 
     def _log(self, version: int, batch, clock, dirs: dict[str, dict[int, int]]) -> None:
         named = {t: {str(b): d for b, d in per_bucket.items()} for t, per_bucket in dirs.items()}
-        frame = self.spark.createDataFrame([(named, batch, clock)], LOG_SCHEMA)
-        frame.coalesce(1).write.mode("overwrite").json(f"{self.root}/log/v={version}")
+        entry = {"dirs": named, "batch": batch, "clock": clock.isoformat() if clock else None}
+        line = self.spark.range(1).select(F.lit(json.dumps(entry)).alias("value"))
+        line.coalesce(1).write.mode("overwrite").text(f"{self.root}/log/v={version}")
 
 
 def object_schema(properties: dict[str, object] | None = None) -> str:

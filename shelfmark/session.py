@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,3 +46,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows of ``schema``; the optimizer drops joins with it."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

@@ -22,7 +22,7 @@ from shelfmark.operators.harvest import latest_page, save_last_run
 from shelfmark.operators.jobs import union_jobs
 from shelfmark.plans.batch import feed_jobs, run_jobs
 from shelfmark.plans.store import Commit, IndexStore
-from shelfmark.session import materialize
+from shelfmark.session import empty_frame, materialize
 from shelfmark.sources.pages import page_state
 from shelfmark.sources.repository import Repository
 
@@ -69,7 +69,7 @@ def released_jobs(store: IndexStore) -> DataFrame:
     """Jobs released by all committed micro-batches."""
     commit = store.ensure()
     if commit.batch is None:
-        return store.spark.createDataFrame([], schemas.JOBS)
+        return empty_frame(store.spark, schemas.JOBS)
     rows = store.spark.read.schema(f"{schemas.JOBS}, batch BIGINT").parquet(f"{store.root}/released")
     return rows.where(F.col("batch") <= commit.batch).drop("batch")
 

@@ -18,7 +18,7 @@ from shelfmark.operators.apply import build_datastream_docs
 from shelfmark.operators.index_tables import IndexTables
 from shelfmark.plans.batch import run_batch, run_jobs
 from shelfmark.plans.store import IndexStore
-from shelfmark.session import materialize, scratch_dir
+from shelfmark.session import empty_frame, materialize, scratch_dir
 from shelfmark.sources import messages as msg
 from shelfmark.sources import pages
 from shelfmark.streaming import stream
@@ -484,7 +484,7 @@ def custom_kind(spark, sf):
         )
 
     empty = empty_tables(spark)
-    access = spark.createDataFrame([], "note STRING, doc_id STRING, _version BIGINT")
+    access = empty_frame(spark, "note STRING, doc_id STRING, _version BIGINT")
     tables = IndexTables(empty.objects, empty.datastreams, empty.errors, {"access": access})
     outcome = run_jobs(cfg, feed_jobs, tables, ad.repository(spark, sf), handlers={"access": note})
     return outcome.tables.extra["access"].select("doc_id", F.col("_version").alias("version"), "note")
