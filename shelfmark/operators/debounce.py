@@ -73,12 +73,11 @@ def _outlasting(jobs: DataFrame, key: tuple[str, ...], min_delay_s: int, max_del
     per_slice = jobs.groupBy(*keys, _checked_slice(min_delay_s, max_delay_s).alias("_slice")).agg(
         F.min("arrival").alias("_first"), F.max_by(waiting, position()).alias("job")
     )
-    # A chunk also sees the first slices of the next one, as far as a job can wait.
+    # A chunk also sees the slices after it, as far as a job can wait.
     reach = math.ceil(max_delay_s / min_delay_s)
     chunk = F.floor(F.col("_slice") / SLICES_PER_CHUNK)
-    near_start = F.pmod(F.col("_slice"), F.lit(SLICES_PER_CHUNK)) <= reach
-    seen_by = F.when(near_start, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-    rows = per_slice.select("*", chunk.alias("_own"), F.explode(seen_by).alias("_chunk"))
+    first_chunk = F.floor((F.col("_slice") - reach) / SLICES_PER_CHUNK)
+    rows = per_slice.select("*", chunk.alias("_own"), F.explode(F.sequence(first_chunk, chunk)).alias("_chunk"))
     next_slice = Window.partitionBy(*names, "_chunk").orderBy("_slice")
     judged = rows.withColumn("_next", F.lead("_first").over(next_slice)).where(
         (F.col("_own") == F.col("_chunk")) & F.col("job").isNotNull()

@@ -26,7 +26,7 @@ LOG_SCHEMA = "dirs MAP<STRING, MAP<STRING, BIGINT>>, batch BIGINT, clock TIMESTA
 TABLES = {"objects": schemas.OBJECTS, "datastreams": schemas.DATASTREAMS, "errors": schemas.ERRORS}
 # Waiting jobs and harvest states; they are committed together with the index tables.
 STATE = {"pending": schemas.JOBS, "last_run": schemas.LAST_RUN}
-# Column that decides the bucket; user-defined tables use the document id.
+# Column that decides the bucket; user-defined tables use their PID column if they have one.
 ROUTING = {"objects": "PID", "datastreams": "PID", "errors": "PID", "pending": "pid", "last_run": "source"}
 
 
@@ -54,6 +54,10 @@ class IndexStore:
         self.schemas = {**TABLES, **STATE, **(extra or {}), "objects": object_schema(properties)}
         self.extra = tuple(extra or ())
 
+    def routing(self, table: str) -> str | None:
+        """Column whose bucket a row lies in; nothing for user-defined tables without a PID, which are rewritten whole."""
+        return ROUTING.get(table) or ("PID" if "PID" in StructType.fromDDL(self.schemas[table]).fieldNames() else None)
+
     def newest(self) -> Commit | None:
         """The visible commit, or nothing before the first one."""
         try:
@@ -92,11 +96,11 @@ class IndexStore:
     def lookup(self, table: str, pid: str) -> DataFrame:
         """Documents of one object and its datastreams: reads a single bucket."""
         bucket = self.spark.range(1).select(pid_bucket(F.lit(pid), self.buckets)).first()[0]
-        return self.read(table, buckets={bucket}).where(F.col(ROUTING[table]) == pid)
+        return self.read(table, buckets={bucket}).where(F.col(self.routing(table)) == pid)
 
     def tables(self, commit: Commit | None = None, buckets: set[int] | None = None) -> IndexTables:
         commit = commit or self.ensure()
-        read = {t: self.read(t, commit, buckets) for t in self.schemas if t not in STATE}
+        read = {t: self.read(t, commit, buckets if self.routing(t) else None) for t in self.schemas if t not in STATE}
         return IndexTables(
             read["objects"], read["datastreams"], read["errors"], {t: read[t] for t in self.extra}
         )
@@ -118,7 +122,10 @@ class IndexStore:
         dirs = {t: dict(d) for t, d in previous.dirs.items()}
         for name, (df, touched) in tables.items():
             kept = {} if touched is None else {b: d for b, d in dirs[name].items() if b not in touched}
-            dirs[name] = {**kept, **{b: version for b in self._write(name, df, version)}}
+            written = self._write(name, df, version)
+            if touched is not None and not written <= touched:
+                raise ValueError(f"{name}: rows outside the buckets to be replaced")
+            dirs[name] = {**kept, **{b: version for b in written}}
         self._log(version, batch, clock, dirs)
         return Commit(version, batch, clock, dirs)
 
@@ -129,7 +136,7 @@ class IndexStore:
         """
         path = f"{self.root}/{name}/v={version}"
         columns = StructType.fromDDL(self.schemas[name]).fieldNames()
-        routed = df.select(*columns).withColumn("pid_bucket", pid_bucket(F.col(ROUTING.get(name, "doc_id")), self.buckets))
+        routed = df.select(*columns).withColumn("pid_bucket", pid_bucket(F.col(self.routing(name) or "doc_id"), self.buckets))
         routed.hint("rebalance", "pid_bucket").write.mode("overwrite").partitionBy("pid_bucket").parquet(path)
         schema = f"{self.schemas[name]}, pid_bucket INT"
         found = self.spark.read.schema(schema).parquet(path).select("pid_bucket").distinct().collect()

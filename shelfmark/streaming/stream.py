@@ -102,7 +102,8 @@ def index_batch(
         nearby = repository.only(touched, store.buckets)
         tables = store.tables(previous, touched)
         outcome = run_jobs(cfg, feed, tables, nearby, clock=None if final else clock, **options)
-        changed.update({name: (df, touched) for name, df in outcome.tables.named().items()})
+        for name, df in outcome.tables.named().items():
+            changed[name] = (df, touched if store.routing(name) else None)
         changed["pending"] = (outcome.waiting, None)
     return store.commit(previous, changed, batch_id, clock)
 

@@ -70,12 +70,12 @@ def test_malformed_messages_are_set_aside(parsed):
 @pytest.mark.parametrize(
     "pattern, expected",
     [
-        ("fedora.apim.*", {"fedora.apim.update", "fedora.apim.access"}), ("fedora.>", {"fedora.apim.update", "fedora.apim.access", "fedora.apim.a.b"}),
-        ("fedora.apim.update", {"fedora.apim.update"}), ("*.apim.update", {"fedora.apim.update"}), (">", None),
+        ("repo.apim.*", {"repo.apim.update", "repo.apim.access"}), ("repo.>", {"repo.apim.update", "repo.apim.access", "repo.apim.a.b"}),
+        ("repo.apim.update", {"repo.apim.update"}), ("*.apim.update", {"repo.apim.update"}), (">", None),
     ],
 )
 def test_topic_filter(spark, pattern, expected):
-    topics = {"fedora.apim.update", "fedora.apim.access", "fedora.apim.a.b", "fedoraXapim.update"}
+    topics = {"repo.apim.update", "repo.apim.access", "repo.apim.a.b", "repoXapim.update"}
     df = spark.createDataFrame([(t,) for t in sorted(topics)], "topic string")
     assert {r["topic"] for r in msg.topic_filter(df, pattern).collect()} == (expected or topics)
 
@@ -105,7 +105,7 @@ def page(identifiers, token=None, expires=None):
 
 @pytest.fixture(scope="module")
 def harvested(spark):
-    one = [("oai:example.org:qucosa:1044", False)]
+    one = [("oai:example.org:col:1044", False)]
     rows = [
         ("s", 1, T0, 200, page(one)),
         ("s", 2, T0, 200, page(one, "140225245500000", "2014-06-09T18:34:15Z")),
@@ -119,14 +119,14 @@ def harvested(spark):
 def test_identifiers_and_jobs(harvested):
     rows = pages.explode_identifiers(harvested)
     got = [(r["page_no"], r["identifier"], r["pid"], r["deleted"]) for r in rows.orderBy("page_no", "position").collect()]
-    whole = "oai:example.org:qucosa:1044"
+    whole = "oai:example.org:col:1044"
     assert got == [
-        (1, whole, "qucosa:1044", False), (2, whole, "qucosa:1044", False), (3, "oai:x", "oai:x", True),
-        (3, "noprefix", "noprefix", False), (7, whole, "qucosa:1044", False),
+        (1, whole, "col:1044", False), (2, whole, "col:1044", False), (3, "oai:x", "oai:x", True),
+        (3, "noprefix", "noprefix", False), (7, whole, "col:1044", False),
     ]
     ops = {m: {r["pid"]: r["op"] for r in jobs_from_identifiers(rows, m).collect()} for m in ("reference", "corrected")}
     assert set(ops["reference"].values()) == {"CREATE"}
-    assert ops["corrected"] == {"qucosa:1044": "CREATE", "noprefix": "CREATE", "oai:x": "DELETE"}
+    assert ops["corrected"] == {"col:1044": "CREATE", "noprefix": "CREATE", "oai:x": "DELETE"}
 
 
 def test_page_state(harvested):

@@ -5,15 +5,15 @@ from pyspark.sql import functions as F
 
 from model import Index, at, jobs_of, random_messages
 from shelfmark import schemas
-from shelfmark.config import PipelineConfig
+from shelfmark.config import JobRule, PipelineConfig
 from shelfmark.functions.times import ntz
 from shelfmark.operators.jobs import derive_jobs
 from shelfmark.plans.store import IndexStore, object_schema
 from shelfmark.session import scratch_dir
 from shelfmark.sources.messages import read_messages
 from shelfmark.sources.pages import read_harvest_pages
-from shelfmark.sources.repository import Repository
-from shelfmark.streaming.stream import debounce_stream, released_jobs, run_stream
+from shelfmark.sources.repository import TABLES, Repository
+from shelfmark.streaming.stream import debounce_stream, index_batch, released_jobs, run_stream
 
 MESSAGE = "msg_id BIGINT, pid STRING, method_name STRING, dsid STRING, arrival TIMESTAMP_NTZ"
 
@@ -99,3 +99,29 @@ def test_messages_and_pages_feed_one_index(spark):
     assert [tuple(r) for r in store.read("last_run").collect()] == [("s", at(3), None, "t1")]
     # The broken ingest still makes an object job, which waits for its time.
     assert tables.errors.count() == 0 and [r["pid"] for r in store.read("pending").collect()] == ["p:3"]
+
+
+def test_user_kind_tables_keep_their_rows(spark):
+    """Tables of user-defined kinds: routed by PID when they have one, else rewritten whole."""
+    root = scratch_dir(spark, "kinds")
+    rules = (JobRule("look", "visit", "UPDATE", True, 1), JobRule("forget", "visit", "DELETE", True, 0))
+    cfg = PipelineConfig(rules=rules)
+
+    def note(written):
+        doc = F.struct(F.concat(F.lit("n "), "doc_id").alias("note"))
+        return written.withColumns({"doc": doc, "error_message": F.lit(None).cast("string")})
+
+    repository = Repository(*[spark.createDataFrame([], s) for s in TABLES.values()])
+    store = IndexStore(spark, root, buckets=8, extra={"visit": "note STRING, doc_id STRING, _version BIGINT"})
+    batches = [
+        [(i, f"p:{i}", "look", "A", at(0)) for i in range(12)],
+        [(20, "p:3", "look", "A", at(10)), (21, "p:4", "forget", "A", at(11)), (22, "p:5", "look", "B", at(11))],
+    ]
+    for i, rows in enumerate(batches):
+        jobs = derive_jobs(spark.createDataFrame(rows, MESSAGE), rules)
+        index_batch(cfg, jobs, store, repository, i, final=True, handlers={"visit": note})
+    versions = {r["doc_id"]: r["_version"] for r in store.read("visit").collect()}
+    assert versions == {**{f"p:{i}:A": 1 for i in range(12) if i != 4}, "p:3:A": 2, "p:5:B": 1}
+    with pytest.raises(ValueError, match="outside the buckets"):
+        errors = spark.createDataFrame([(f"p:{i}", f"p:{i}", "", "j", "m", at(i)) for i in range(9)], schemas.ERRORS)
+        store.commit(store.newest(), {"errors": (errors, {0})})
