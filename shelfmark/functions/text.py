@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,12 +40,19 @@ def _character(code: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unescape(text: Column) -> Column:
     """Replace named and numeric character references; unknown ones stay as they are."""
     names = F.create_map(*[F.lit(v) for pair in ENTITIES.items() for v in pair])
 
     def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, REFERENCE_NAME, 1)
+        return _bound(F.regexp_extract(part, REFERENCE_NAME, 1), lambda name: replaced(part, name))
+
+    def replaced(part: Column, name: Column) -> Column:
         number = (
             F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10))
             .when(name.startswith("#"), F.substring(name, 2, 7))
@@ -53,10 +62,11 @@ def unescape(text: Column) -> Column:
         rest = F.substring(part, F.length(name) + F.lit(2), F.length(part))
         return F.when(value.isNotNull(), F.concat(value, rest)).otherwise(F.concat(F.lit("&"), part))
 
-    parts = F.split(text, "&")
-    tail = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    joined = F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
-    return F.when(text.contains("&"), joined).otherwise(text)
+    def joined(parts: Column) -> Column:
+        tail = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
+
+    return _bound(F.split(text, "&"), joined)
 
 
 def squeeze(text: Column) -> Column:

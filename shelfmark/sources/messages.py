@@ -66,7 +66,8 @@ def dsid_of(categories: Column) -> Column:
 def parse_atom(messages: DataFrame) -> DataFrame:
     """Add ``dsid`` and ``_corrupt_record`` (the text of a body that is not well-formed XML)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = messages.withColumn("_atom", F.from_xml("body", schemas.ATOM_BODY, options))
+    # Generated rather than projected, so that later filters on the result do not parse a second time.
+    parsed = messages.select("*", F.explode(F.array(F.from_xml("body", schemas.ATOM_BODY, options))).alias("_atom"))
     return parsed.select(
         *messages.columns, dsid_of(F.col("_atom.category")).alias("dsid"), F.col("_atom._corrupt_record")
     )

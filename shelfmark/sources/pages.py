@@ -33,7 +33,8 @@ def read_page_files(spark: SparkSession, path: str, source: str) -> DataFrame:
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Add the parsed body and ``failed``: another status than 200, no body, or a body that is not well-formed."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = pages.withColumn("_page", F.from_xml("body", schemas.HARVEST_BODY, options))
+    # Generated rather than projected, so that later filters on the result do not parse a second time.
+    parsed = pages.select("*", F.explode(F.array(F.from_xml("body", schemas.HARVEST_BODY, options))).alias("_page"))
     expiration = F.col("_page.ListIdentifiers.resumptionToken._expirationDate")
     failed = (
         (F.coalesce(F.col("http_status"), F.lit(0)) != 200)

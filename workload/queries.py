@@ -452,7 +452,7 @@ def empty_tables(spark: SparkSession) -> IndexTables:
 @query("index_events", sql.apply_sql("corrected", sql.NO_SEEDS))
 def index_events(spark, sf):
     """From message bodies to the finished index, starting from nothing."""
-    raw = ad.with_bodies(ad.messages(spark, sf))
+    raw = ad.with_bodies(ad.spread(ad.messages(spark, sf), "msg_id"))
     cfg = ad.config("corrected", message_selector=UPDATES_ONLY, topic_filter="fedora.apim.>")
     return flat_tables(run_batch(cfg, empty_tables(spark), ad.repository(spark, sf), messages=raw))
 
