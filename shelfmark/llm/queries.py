@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .decontaminate import find_contamination
+from .line_dedup import dedup_lines
 from .url_filter import canonical, filter_urls, host_of, path_of
 
 QUERIES, ORACLES = {}, {}
@@ -31,3 +33,18 @@ def op6_url_filter(spark, sf_dir):
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     listed = pages.where(F.array_contains(F.split(host, r"\."), "ads-track")).select(canonical(host, path).alias("canonical"))
     return filter_urls(pages, listed, URL_RULES)
+
+
+@query("op8_decontamination", sql.DECONTAMINATION)
+def op8_decontamination(spark, sf_dir):
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id", "text"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query("op2_line_dedup", sql.LINE_DEDUP)
+def op2_line_dedup(spark, sf_dir):
+    out = dedup_lines(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

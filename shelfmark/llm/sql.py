@@ -15,3 +15,28 @@ SELECT page_id, host, path,
   CASE WHEN net_en THEN 'allow' WHEN com_de THEN 'block' WHEN org_fr THEN 'allow' WHEN net THEN 'block'
     WHEN canon IN (SELECT canon FROM listed) THEN 'block' ELSE 'allow' END AS verdict
 FROM fit"""
+
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+x AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM x),
+r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone FROM k LEFT JOIN r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+DECONTAMINATION = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+t AS (SELECT DISTINCT item_id, n, array_to_string(ws[i + 1:i + n], ' ') AS win
+  FROM (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(len(ws) - least(13, len(ws)) + 1)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, n, i, array_to_string(ws[i + 1:i + n], ' ') AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(len(ws) - n + 1)) AS i FROM w JOIN (SELECT DISTINCT n FROM t) ON len(ws) >= n)),
+h AS (SELECT DISTINCT doc_id, item_id, dw.i AS i, dw.n AS n FROM dw JOIN t ON dw.win = t.win AND dw.n = t.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hit ON hit.doc_id = w.doc_id LEFT JOIN its ON its.doc_id = w.doc_id"""
