@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import sql
-from .common import table
+from . import sql, token_files
+from .bpe import encode_and_decode
+from .common import in_scratch, table
 from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
+from .simhash import near_duplicates
 from .url_filter import canonical, filter_urls, host_of, path_of
 
 QUERIES, ORACLES = {}, {}
@@ -48,3 +50,21 @@ def op8_decontamination(spark, sf_dir):
 def op2_line_dedup(spark, sf_dir):
     out = dedup_lines(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_simhash")
+def op4_simhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_bpe")
+def op7_bpe(spark, sf_dir):
+    out = encode_and_decode(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op9_token_files")
+def op9_token_files(spark, sf_dir):
+    path = in_scratch(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.checksums(token_files.read_documents(spark, path, ["doc_id", "n_tokens", "tokens"]))
