@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import sql, token_files
+from . import embedding_dedup, sql, token_files
 from .bpe import encode_and_decode
 from .common import in_scratch, table
 from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
+from .lm_score import score_texts
 from .simhash import near_duplicates
 from .url_filter import canonical, filter_urls, host_of, path_of
 
@@ -68,3 +69,13 @@ def op9_token_files(spark, sf_dir):
     path = in_scratch(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path)
     return token_files.checksums(token_files.read_documents(spark, path, ["doc_id", "n_tokens", "tokens"]))
+
+
+@query("op1_embedding_dedup")
+def op1_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op3_lm_score")
+def op3_lm_score(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
