@@ -3,10 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfmark.llm.bpe import encode_and_decode
 from shelfmark.llm.common import materialize, table
+from shelfmark.llm.decontaminate import find_contamination
+from shelfmark.llm.line_dedup import dedup_lines
+from shelfmark.llm.quality import judge
+from shelfmark.llm.simhash import near_duplicates
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    return judge(docs, table(spark, sf_dir, "labels"), carry=docs.columns).where("kept").select("row.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the repeated lines; ``n_chars`` follows the text."""
+    clean = dedup_lines(docs, carry=docs.columns).select("row.*", F.col("kept").alias("__kept"))
+    changed = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast(docs.schema["n_chars"].dataType)}
+    return clean.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group."""
+    first = near_duplicates(docs).where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id")).distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
+    return found.where(~F.col("contaminated")).select("row.*")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and digests of the ids and of the decoded text."""
+    made = encode_and_decode(docs, carry=["doc_id", "text"], keep=("ids",))
+    return made.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
+
+STAGES = [("quality", quality), ("lines", lines), ("simhash", simhash), ("decontamination", decontamination), ("bpe", tokens)]
 
 #: A trained classifier, a similarity closure and a tokenizer are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None

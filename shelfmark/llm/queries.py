@@ -10,6 +10,7 @@ from .common import in_scratch, table
 from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
 from .lm_score import score_texts
+from .quality import judge
 from .simhash import near_duplicates
 from .url_filter import canonical, filter_urls, host_of, path_of
 
@@ -79,3 +80,10 @@ def op1_embedding_dedup(spark, sf_dir):
 @query("op3_lm_score")
 def op3_lm_score(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    """Good is what the labels call of quality and not toxic; sites are sources, and languages within them."""
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id", "text", "source", "lang"])
+    return judged.select(F.col("row.doc_id").alias("doc_id"), "evidence", "prior", "score", "kept")
