@@ -12,6 +12,7 @@ from .line_dedup import dedup_lines
 from .lm_score import score_texts
 from .quality import judge
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .url_filter import canonical, filter_urls, host_of, path_of
 
 QUERIES, ORACLES = {}, {}
@@ -87,3 +88,9 @@ def op5_quality(spark, sf_dir):
     """Good is what the labels call of quality and not toxic; sites are sources, and languages within them."""
     judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id", "text", "source", "lang"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), "evidence", "prior", "score", "kept")
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf_dir):
+    out = remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
