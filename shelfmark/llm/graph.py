@@ -30,9 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     links, links_at = written(apart.unionByName(apart.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels, labels_at, turn = links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0), None, 0
     while not links.isEmpty():
-        rank = lambda c, t=turn: F.struct(F.xxhash64(c, F.lit(t)), F.col(c))
+        rank = lambda c, t=turn: F.struct(F.xxhash64(c, F.lit(t)).alias("place"), F.col(c).alias("node"))
         best = links.groupBy("a").agg(F.min(rank("b")).alias("best"))
-        first = best.select(F.col("a").alias("node"), F.least("best", rank("a")).getField("col2").alias("parent"))
+        first = best.select(F.col("a").alias("node"), F.least("best", rank("a")).getField("node").alias("parent"))
         first, first_at = written(first)
         up = first.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         parents, parents_at = written(first.join(up, "parent").select("node", F.col("above").alias("parent")))
