@@ -8,10 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20
+BATCH_BYTES, DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def as_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """One column ``row`` with the named columns, so that no result column can clash with them."""
+    """One column ``row`` with the named columns, so that no result column can clash with them.
+
+    Rows are handed over in batches of bounded size, however long texts are; a bound that the session has set stays.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_BYTES) == DEFAULT_BATCH:
+        conf.set(BATCH_BYTES, f"{SLICE_BYTES}b")
     return docs.select(F.struct(*columns).alias("row"))
 
 
