@@ -1,10 +1,12 @@
-"""Session defaults. On a cluster the submitted configuration wins over every value set here."""
+"""Session defaults; what was submitted with the application (or set as a system default) wins over them."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,15 +25,22 @@ def get_spark(app: str = "shelfmark", master: str | None = None, **conf: str) ->
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    submitted = SparkConf()
+    defaults = {key: value for key, value in DEFAULTS.items() if not submitted.contains(key)}
+    for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session may go without: on a cluster every executor would write to a disk of its own, so that is refused.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shelfmark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
