@@ -90,11 +90,13 @@ class PipelineConfig:
     poll_interval_s: float = DEFAULT_POLL_INTERVAL_S
     rules: tuple[JobRule, ...] = DEFAULT_RULES
     delay_unit_s: int = 1
+    waiting_delays_s: tuple[int, ...] = ()  # waits of stored jobs, which earlier rules may have given
 
     @property
     def delays_s(self) -> tuple[int, int]:
-        """Shortest and longest non-zero waiting time the rules can produce, in seconds."""
+        """Shortest and longest non-zero waiting time of the rules and of stored jobs, in seconds."""
         waits = [r.delay_s * self.delay_unit_s for r in self.rules if r.delay_s > 0] or [self.delay_unit_s]
+        waits += self.waiting_delays_s
         return min(waits), max(waits)
 
     @classmethod

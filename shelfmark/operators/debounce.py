@@ -75,8 +75,9 @@ def _outlasting(jobs: DataFrame, key: tuple[str, ...], min_delay_s: int, max_del
     )
     # A chunk also sees the slices after it, as far as a job can wait.
     reach = math.ceil(max_delay_s / min_delay_s)
-    chunk = F.floor(F.col("_slice") / SLICES_PER_CHUNK)
-    first_chunk = F.floor((F.col("_slice") - reach) / SLICES_PER_CHUNK)
+    size = max(SLICES_PER_CHUNK, reach)  # so that a slice lies in two chunks at most
+    chunk = F.floor(F.col("_slice") / size)
+    first_chunk = F.floor((F.col("_slice") - reach) / size)
     rows = per_slice.select("*", chunk.alias("_own"), F.explode(F.sequence(first_chunk, chunk)).alias("_chunk"))
     next_slice = Window.partitionBy(*names, "_chunk").orderBy("_slice")
     judged = rows.withColumn("_next", F.lead("_first").over(next_slice)).where(
@@ -91,23 +92,32 @@ def mark_interrupted(
 ) -> DataFrame:
     """Add ``interrupted``: an event (``on, at, seq``) of the same ``on`` falls between a job's position and ``ready_at``.
 
-    Events are reduced per ``on`` and slice and announced to the slices whose jobs can still be waiting for them. Jobs then
-    look up one row of their own slice, so a crowded value of ``on`` is spread over its slices.
+    Jobs fall into classes by wait: a class's slices are no longer than its waits and no shorter than half of them, so a job
+    looks no further than two slices ahead, whatever the ratio of the longest to the shortest wait. Events are reduced per ``on``
+    and shortest slice, then per class, and announced to the slices whose jobs can still be waiting for them. Jobs then look up
+    one row of their own slice, so a crowded value of ``on`` is spread over its slices.
     """
-    reach = math.ceil(max_delay_s / min_delay_s)
-    per_slice = events.groupBy(on, time_slice(F.col("at"), min_delay_s).alias("_at_slice")).agg(
+    classes = [k for k in range(64) if k == 0 or min_delay_s << k <= max_delay_s]
+    finest = events.groupBy(on, time_slice(F.col("at"), min_delay_s).alias("_fine")).agg(
         F.min("at").alias("first"), F.max(F.struct("at", "seq")).alias("last")
     )
+    wider = F.explode(F.array(*[F.struct(F.lit(k).alias("_class"), F.floor(F.col("_fine") / (1 << k)).alias("_at_slice")) for k in classes]))
+    per_slice = finest.select(on, "first", "last", wider.alias("_wider")).groupBy(on, "_wider._class", "_wider._at_slice").agg(
+        F.min("first").alias("first"), F.max("last").alias("last")
+    )
     announced = (
-        per_slice.withColumn("_slice", F.explode(F.sequence(F.col("_at_slice") - reach, F.col("_at_slice"))))
-        .groupBy(on, "_slice")
+        per_slice.withColumn("_slice", F.explode(F.sequence(F.col("_at_slice") - 2, F.col("_at_slice"))))
+        .groupBy(on, "_class", "_slice")
         .agg(
             F.max(F.when(F.col("_slice") == F.col("_at_slice"), F.col("last"))).alias("_same_slice"),
             F.min(F.when(F.col("_slice") < F.col("_at_slice"), F.col("first"))).alias("_later"),
         )
     )
-    sliced = jobs.withColumn("_slice", _checked_slice(min_delay_s, max_delay_s))
-    looked_up = sliced.join(announced, [on, "_slice"], "left")
+    of_wait = sum(((F.col("delay_s") >= (min_delay_s << k)).cast("int") for k in classes[1:]), F.lit(0))
+    sliced = jobs.withColumn("_class", of_wait).withColumn(
+        "_slice", F.floor(_checked_slice(min_delay_s, max_delay_s) / F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_class")))
+    )
+    looked_up = sliced.join(announced, [on, "_class", "_slice"], "left")
     hit = (F.col("_same_slice") > position()) | (F.col("_later") < F.col("ready_at"))
     return looked_up.select(
         *jobs.columns, ((F.col("delay_s") > 0) & F.coalesce(hit, F.lit(False))).alias("interrupted")

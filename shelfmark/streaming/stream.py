@@ -1,6 +1,8 @@
 """Continuous debounce and indexing of landed messages.
 
-The clock is the latest arrival seen. Jobs that are still waiting by the clock are kept between micro-batches in a small table
+The clock is the latest arrival seen when landed messages are replayed (``availableNow``), so a replay gives what the queue gave. With
+any other trigger it is the wall clock: ticks make micro-batches also when no message comes, so the last jobs of a quiet repository
+are released on time and a message dated ahead moves nothing. Jobs that are still waiting by the clock are kept between micro-batches in a small table
 (they live no longer than the longest wait), so a micro-batch is the batch program over waiting and new jobs: it gives the same
 result, spreads crowded keys in the same way and needs no Python state handling. A micro-batch becomes visible with one commit
 that carries its id; a repeated one is recognised and skipped.
@@ -8,7 +10,10 @@ that carries its id; a repeated one is recognised and skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -27,15 +32,38 @@ from shelfmark.sources.pages import page_state
 from shelfmark.sources.repository import Repository
 
 
-def _next(store: IndexStore, jobs: DataFrame, batch_id: int) -> tuple[Commit, DataFrame, object] | None:
-    """(previous commit, waiting and new jobs, clock), or nothing when this micro-batch was committed before."""
+ARRIVAL, WALL = "arrival", "wall"
+TICK_S = 1
+
+
+def clock_of(trigger: dict | None) -> str:
+    return ARRIVAL if trigger is None or "availableNow" in trigger or "once" in trigger else WALL
+
+
+def _next(
+    store: IndexStore, jobs: DataFrame, batch_id: int, cfg: PipelineConfig, clock: str = ARRIVAL
+) -> tuple[Commit, DataFrame, object, PipelineConfig] | None:
+    """(previous commit, waiting and new jobs, clock, settings), or nothing when this micro-batch was committed before.
+
+    Stored jobs may have waits that the rules no longer give; the settings' bounds include them.
+    """
     previous = store.ensure()
     if previous.batch is not None and batch_id <= previous.batch:
         return None
     feed = materialize(store.read("pending", previous).unionByName(jobs), "feed")
-    latest = feed.agg(F.max("arrival")).first()[0]
+    waits = F.when(F.col("delay_s") > 0, F.col("delay_s"))
+    latest, *delays = feed.agg(F.max("arrival"), F.min(waits), F.max(waits)).first()
+    if clock == WALL:
+        latest = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     known = [t for t in (previous.clock, latest) if t is not None]
-    return previous, feed, max(known) if known else None
+    cfg = replace(cfg, waiting_delays_s=tuple(d for d in delays if d is not None))
+    return previous, feed, max(known) if known else None, cfg
+
+
+def _ticks(spark: SparkSession, like: DataFrame, every_s: int) -> DataFrame:
+    """A stream of empty rows, so that time passes without messages."""
+    rows = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("advanceMillisPerBatch", 1000 * every_s).load()
+    return rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
 def _start(stream: DataFrame, step, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -53,15 +81,17 @@ def debounce_stream(
     """Debounce a stream of job rows; ``released_jobs`` reads the result."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        found = _next(store, batch, batch_id)
+        found = _next(store, batch.where(F.col("op").isNotNull()), batch_id, cfg, clock_of(trigger))
         if found is None or found[2] is None:
             return
-        previous, feed, clock = found
-        settled = materialize(settle(feed, cfg.mode, *cfg.delays_s), "settled")
+        previous, feed, clock, own = found
+        settled = materialize(settle(feed, own.mode, *own.delays_s), "settled")
         due = F.col("ready_at") <= ntz(clock)
         settled.where(due).write.mode("overwrite").parquet(f"{store.root}/released/batch={batch_id}")
         store.commit(previous, {"pending": (settled.where(~due), None)}, batch_id, clock)
 
+    if clock_of(trigger) == WALL:
+        jobs = jobs.unionByName(_ticks(store.spark, jobs, TICK_S))
     return _start(jobs, step, checkpoint, trigger)
 
 
@@ -82,6 +112,7 @@ def index_batch(
     batch_id: int,
     final: bool = False,
     page_states: DataFrame | None = None,
+    clock: str = ARRIVAL,
     **options,
 ) -> Commit | None:
     """One micro-batch: settle waiting and new jobs, carry out the due ones, commit tables and waiting jobs together.
@@ -89,10 +120,10 @@ def index_batch(
     ``page_states`` are the states of the harvest pages among the batch; the sources' last-run state moves with the commit.
     ``final`` carries out everything, as when no further message is expected.
     """
-    found = _next(store, jobs, batch_id)
+    found = _next(store, jobs, batch_id, cfg, clock)
     if found is None:
         return None
-    previous, feed, clock = found
+    previous, feed, clock, cfg = found
     changed = {}
     if page_states is not None:
         state = save_last_run(store.read("last_run", previous), latest_page(page_states), cfg.mode)
@@ -132,6 +163,8 @@ def run_stream(
         rows = {n: batch.where(F.col(n).isNotNull()).select(f"{n}.*") for n, (df, _) in feeds.items() if df is not None}
         jobs = feed_jobs(cfg, rows.get("message"), rows.get("page"), predicates)
         states = page_state(rows["page"]) if "page" in rows else None
-        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, **options)
+        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, clock=clock_of(trigger), **options)
 
+    if clock_of(trigger) == WALL:
+        wrapped.append(_ticks(store.spark, wrapped[0], TICK_S))
     return _start(union_jobs(*wrapped), step, checkpoint, trigger)
