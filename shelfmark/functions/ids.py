@@ -14,8 +14,9 @@ VALID_URI = rf"\A{_PATH}(?:\?{_URIC})?(?:#{_URIC})?\z"
 
 
 def doc_id(kind: Column, pid: Column, dsid: Column) -> Column:
-    """``pid`` for objects and for an empty ``dsid``, otherwise ``pid:dsid``."""
-    return F.when((kind == "object") | (dsid == ""), pid).otherwise(F.concat_ws(":", pid, dsid))
+    """``pid`` for objects and for an empty ``dsid``, otherwise ``pid:dsid``; null without a pid."""
+    own = F.coalesce(dsid, F.lit(""))
+    return F.when((kind == "object") | (own == ""), pid).otherwise(F.concat(pid, F.lit(":"), own))
 
 
 def job_label(op: Column, document: Column) -> Column:

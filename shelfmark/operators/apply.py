@@ -21,7 +21,7 @@ from shelfmark.operators import documents, index_tables
 from shelfmark.operators.debounce import mark_interrupted
 from shelfmark.operators.filters import JobPredicate, filter_jobs, predicates_from_config
 from shelfmark.operators.index_tables import IndexTables
-from shelfmark.operators.jobs import FAN_OUT_SEQ
+from shelfmark.operators.jobs import fan_out_sequence
 from shelfmark.operators.skew import salted_lookup
 from shelfmark.schemas import DATASTREAM_COLUMNS, OBJECT_COLUMNS
 from shelfmark.sources.repository import Repository
@@ -44,7 +44,7 @@ def position(at: str = "ready_at") -> Column:
 
 
 def fan_out_position() -> Column:
-    return F.struct(F.col("ready_at").alias("at"), (F.col("seq") + F.lit(FAN_OUT_SEQ)).alias("seq"))
+    return F.struct(F.col("ready_at").alias("at"), fan_out_sequence(F.col("seq")).alias("seq"))
 
 
 def build_object_docs(jobs: DataFrame, repository: Repository, cfg: PipelineConfig, transform=None) -> DataFrame:
@@ -82,7 +82,7 @@ def replace_by_fan_out(
     candidate = (F.col("kind") == "datastream") & (F.col("op") == "CREATE") & (F.col("delay_s") > 0) & (F.col("dsid") != "")
     candidates, others = jobs.where(candidate), jobs.where(~candidate)
     parents = done.where((F.col("kind") == "object") & (F.col("op") == "CREATE")).select(
-        "pid", F.col("ready_at").alias("at"), (F.col("seq") + F.lit(FAN_OUT_SEQ)).alias("seq")
+        "pid", F.col("ready_at").alias("at"), fan_out_sequence(F.col("seq")).alias("seq")
     )
     marked = mark_interrupted(candidates, parents, "pid", *delays_s)
     # Only a successful parent fans out, and only to the datastreams it lists. The listing is cut down to the candidates'

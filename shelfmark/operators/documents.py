@@ -30,7 +30,7 @@ def build_objects(jobs: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     left = jobs.withColumnRenamed("pid", "_pid")
     built = left.join(profile, F.col("_pid") == F.col("PID"), "left")
-    missing = F.when(F.col("PID").isNull(), F.concat(F.lit("no profile of object "), F.col("_pid")))
+    missing = F.when(F.col("PID").isNull(), F.concat(F.lit("no profile of object "), F.coalesce(F.col("_pid"), F.lit("(no pid)"))))
     return built.select(
         F.col("_pid").alias("pid"), *[c for c in jobs.columns if c != "pid"],
         F.struct("PID", "STATE", "LABEL", "OWNER_ID", "CREATED_DATE", "LAST_MODIFIED_DATE").alias("doc"),

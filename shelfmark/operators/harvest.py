@@ -24,12 +24,15 @@ def load_last_run(raw: DataFrame) -> DataFrame:
     )
 
 
-def plan_harvest(last_run: DataFrame, now, mode: str = REFERENCE) -> DataFrame:
+def plan_harvest(last_run: DataFrame, now, mode: str = REFERENCE, sources: DataFrame | None = None) -> DataFrame:
     """How each source is read next: RESUME with a token, INCREMENTAL from a bound, or FULL.
 
-    ``from_text`` is the bound as sent; ``from_ts`` the instant it denotes.
+    ``from_text`` is the bound as sent; ``from_ts`` the instant it denotes. ``sources`` (``source``) are the configured sources:
+    only these are planned, and one that never ran is read in full. Without it every source with a state is planned.
     """
     check_mode(mode)
+    if sources is not None:
+        last_run = sources.select("source").distinct().join(last_run, "source", "left")
     resume = token_valid(F.col("resumption_token"), F.col("expiration_date"), ntz(now))
     incremental = ~resume & F.col("ts").isNotNull()
     return last_run.select(
@@ -52,6 +55,11 @@ def changed_since(df: DataFrame, ts_col: str, plan, source_col: str = "source")
     if not isinstance(plan, DataFrame):
         return df.where(F.col(ts_col) >= ntz(plan))
     bounds = plan.select(F.col("source").alias("_source"), F.col("from_ts").alias("_from"))
+    if not plan.isStreaming and not df.isStreaming:
+        # Where every source has a bound, the smallest one is pushed down to the scan.
+        whole, first = bounds.agg(F.coalesce(F.max(F.col("_from").isNull()), F.lit(False)), F.min("_from")).first()
+        if not whole and first is not None:
+            df = df.where(F.col(ts_col) >= ntz(first))
     joined = df.join(bounds, F.col(source_col) == F.col("_source"))
     return joined.where(F.col("_from").isNull() | (F.col(ts_col) >= F.col("_from"))).select(*df.columns)
 

@@ -13,9 +13,23 @@ from shelfmark.functions.times import ready_at
 from shelfmark.operators.skew import salted_lookup
 from shelfmark.schemas import JOB_COLUMNS
 
-# Sequence numbers of fan-out jobs lie above all numbers of the feeds, which they follow at equal times.
-FAN_OUT_SEQ = 1 << 62
-JOBS_PER_MESSAGE = 16
+MESSAGE_FEED, PAGE_FEED = 0, 1
+
+
+def sequence(feed: int, source: Column, number: Column, position: Column) -> Column:
+    """Order key of a job: its feed and source, the message or page it comes from, and the place in it. No part is bounded."""
+    return F.struct(
+        F.lit(0).alias("generation"), F.lit(feed).alias("feed"), source.cast("string").alias("source"),
+        number.cast("bigint").alias("number"), position.cast("bigint").alias("position"),
+    )
+
+
+def fan_out_sequence(seq: Column) -> Column:
+    """Order key of the jobs that a job fans out to: after all jobs of the feeds at equal times."""
+    return F.struct(
+        (seq["generation"] + 1).alias("generation"), seq["feed"].alias("feed"), seq["source"].alias("source"),
+        seq["number"].alias("number"), seq["position"].alias("position"),
+    )
 
 
 def with_identity(df: DataFrame) -> DataFrame:
@@ -33,8 +47,6 @@ def _rules_column(rules: tuple[JobRule, ...], delay_unit_s: int) -> Column:
     by_method: dict[str, list[JobRule]] = {}
     for rule in rules:
         by_method.setdefault(rule.method, []).append(rule)
-    if max(map(len, by_method.values())) > JOBS_PER_MESSAGE:
-        raise ValueError(f"at most {JOBS_PER_MESSAGE} jobs per method")
     choice = None
     for method, jobs in by_method.items():
         array = F.array(
@@ -62,15 +74,15 @@ def derive_jobs(
     return with_identity(
         jobs.select(
             "kind", "op", "pid", F.when(F.col("keep_dsid"), F.col("_dsid")).otherwise("").alias("dsid"),
-            "arrival", "delay_s", (F.col("msg_id") * JOBS_PER_MESSAGE + F.col("idx")).alias("seq"),
+            "arrival", "delay_s", sequence(MESSAGE_FEED, F.lit(""), F.col("msg_id"), F.col("idx")).alias("seq"),
         )
     )
 
 
-def jobs_from_identifiers(identifiers: DataFrame, mode: str = "reference", seq_offset: int = 0) -> DataFrame:
+def jobs_from_identifiers(identifiers: DataFrame, mode: str = "reference") -> DataFrame:
     """An immediate object CREATE per listed identifier; in ``corrected`` mode deleted records become DELETEs.
 
-    Order among jobs of one page is the order of the list: ``seq`` packs page number and position.
+    Order among jobs of one page is the order of the list.
     """
     op = F.lit("CREATE")
     if check_mode(mode) == CORRECTED:
@@ -79,7 +91,7 @@ def jobs_from_identifiers(identifiers: DataFrame, mode: str = "reference", seq_o
         identifiers.select(
             F.lit("object").alias("kind"), op.alias("op"), "pid", F.lit("").alias("dsid"),
             F.col("request_at").alias("arrival"), F.lit(0).alias("delay_s"),
-            (F.lit(seq_offset) + F.col("page_no") * 100_000 + F.col("position")).cast("bigint").alias("seq"),
+            sequence(PAGE_FEED, F.col("source"), F.col("page_no"), F.col("position")).alias("seq"),
         )
     )
 
@@ -94,7 +106,7 @@ def fan_out(created: DataFrame, listing: DataFrame, salts: int = 8) -> DataFrame
     ``created`` are released jobs whose object was built. The jobs arrive when their parent is done and wait no longer.
     """
     parents = created.where((F.col("kind") == "object") & (F.col("op") == "CREATE")).select(
-        "pid", F.col("ready_at").alias("arrival"), (F.col("seq") + F.lit(FAN_OUT_SEQ)).alias("seq")
+        "pid", F.col("ready_at").alias("arrival"), fan_out_sequence(F.col("seq")).alias("seq")
     )
     children = salted_lookup(listing, parents, ["pid"], spread=["dsid"], how="inner", salts=salts)
     return with_identity(

@@ -16,9 +16,11 @@ HARVEST_BODY = (
 LAST_RUN_RAW = "source STRING, ts STRING, expiration_date STRING, resumption_token STRING"
 LAST_RUN = "source STRING, ts TIMESTAMP_NTZ, expiration_date TIMESTAMP_NTZ, resumption_token STRING"
 
+# Order of jobs with equal times, compared field by field: jobs of a fan-out (one generation on) follow those of the feeds.
+SEQ = "STRUCT<generation: INT, feed: INT, source: STRING, number: BIGINT, position: BIGINT>"
 JOBS = (
     "kind STRING, op STRING, pid STRING, dsid STRING, doc_id STRING, "
-    "arrival TIMESTAMP_NTZ, delay_s INT, ready_at TIMESTAMP_NTZ, seq BIGINT"
+    f"arrival TIMESTAMP_NTZ, delay_s INT, ready_at TIMESTAMP_NTZ, seq {SEQ}"
 )
 JOB_COLUMNS = ("kind", "op", "pid", "dsid", "doc_id", "arrival", "delay_s", "ready_at", "seq")
 

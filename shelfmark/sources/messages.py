@@ -80,12 +80,12 @@ def _malformed(mode: str, rules: tuple[JobRule, ...]) -> Column:
         needs_body = {r.method for r in rules if r.keep_dsid}
         independent = sorted({r.method for r in rules} - needs_body)
         broken = broken & ~F.col("method_name").isin(independent)
-    return F.coalesce(broken, F.lit(True)) | F.col("method_name").isNull()
+    return F.coalesce(broken, F.lit(True)) | F.col("method_name").isNull() | F.col("pid").isNull()
 
 
 def split_malformed(
     parsed: DataFrame, mode: str = "reference", rules: tuple[JobRule, ...] = DEFAULT_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """(usable, malformed) messages: a broken body or a missing method name is set aside, the rest goes on."""
+    """(usable, malformed) messages: a broken body, a missing method name or pid is set aside, the rest goes on."""
     bad = _malformed(mode, rules)
     return parsed.where(~bad), parsed.where(bad)

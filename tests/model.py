@@ -7,7 +7,6 @@ import heapq
 import random
 
 from shelfmark.config import DEFAULT_RULES
-from shelfmark.operators.jobs import FAN_OUT_SEQ, JOBS_PER_MESSAGE
 
 START = dt.datetime(2024, 1, 1)
 
@@ -33,11 +32,12 @@ def jobs_of(messages, rules=DEFAULT_RULES):
     for msg_id, pid, method, dsid, arrival in messages:
         for idx, r in enumerate([r for r in rules if r.method == method]):
             own = dsid if r.keep_dsid else ""
-            jobs.append(make_job(r.kind, r.op, pid, own, arrival, r.delay_s, msg_id * JOBS_PER_MESSAGE + idx))
+            jobs.append(make_job(r.kind, r.op, pid, own, arrival, r.delay_s, (0, 0, "", msg_id, idx)))
     return jobs
 
 
 def make_job(kind, op, pid, dsid, arrival, delay_s, seq):
+    seq = (0, 0, "", seq, 0) if isinstance(seq, int) else tuple(seq)
     doc = pid if kind == "object" or dsid == "" else f"{pid}:{dsid}"
     return {
         "kind": kind, "op": op, "pid": pid, "dsid": dsid, "doc_id": doc, "arrival": arrival, "delay_s": delay_s,
@@ -102,7 +102,7 @@ class Index:
             self.errors.pop(doc, None)
             if op == "CREATE":
                 return [
-                    make_job("datastream", "CREATE", pid, d, job["ready_at"], 0, job["seq"] + FAN_OUT_SEQ)
+                    make_job("datastream", "CREATE", pid, d, job["ready_at"], 0, (job["seq"][0] + 1, *job["seq"][1:]))
                     for d in self.listing.get(pid, ())
                 ]
             return []

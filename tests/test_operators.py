@@ -26,7 +26,7 @@ def frame(spark, *jobs):
 
 
 def column(df, name):
-    return sorted(r[name] for r in df.collect())
+    return sorted(r[name].number if name == "seq" else r[name] for r in df.collect())
 
 
 # Filters
@@ -54,7 +54,7 @@ def test_exclude_and_relevant_datastreams(spark):
 
 def test_predicates_all_have_to_hold(spark):
     jobs = frame(spark, *[("object", "CREATE", f"t:{i}", "", at(0), 0, i) for i in range(6)])
-    even, high = (lambda: F.col("seq") % 2 == 0), (lambda: F.col("seq") > 2)
+    even, high = (lambda: F.col("seq.number") % 2 == 0), (lambda: F.col("seq.number") > 2)
     assert filters.filter_jobs(jobs).count() == 6
     assert column(filters.filter_jobs(jobs, even, high), "seq") == [4]
     assert filters.filter_jobs(jobs, lambda: F.lit(False)).count() == 0
@@ -134,8 +134,8 @@ def test_due_and_release_order(spark):
         ("object", "CREATE", "t:3", "", at(0), 2, 0),
     )
     assert column(db.due(jobs, at(2)), "seq") == [0, 2]
-    assert [r["seq"] for r in db.release_order(jobs).collect()] == [0, 2, 1]
-    assert [r["seq"] for r in db.next_jobs(jobs, 1).collect()] == [0]
+    assert [r["seq"].number for r in db.release_order(jobs).collect()] == [0, 2, 1]
+    assert [r["seq"].number for r in db.next_jobs(jobs, 1).collect()] == [0]
     assert "TakeOrdered" in db.next_jobs(jobs, 1)._jdf.queryExecution().executedPlan().toString()
     assert [float(r[0]) for r in jobs.orderBy("seq").select(db.remaining_s(at(1))).collect()] == [1.0, 2.0, 1.0]
 
@@ -336,7 +336,7 @@ def test_changed_since_reaches_the_scan(spark):
         ("TEXT/HTML; charset=utf-8", "x<script>var a = '<p>'</script>y<style>p{}</style><script>open", "xy"),
         ("application/xml", "<?xml version='1.0'?><a><b>x</b><![CDATA[1 <2> & 3]]><c/>y</a>", "x 1 <2> & 3 y"),
         ("image/svg+xml", "<svg><text>hi</text></svg>", "hi"), ("text/plain", " as <is> &amp; ", " as <is> &amp; "),
-        ("application/json", '{"a": 1}', '{"a": 1}'), ("application/pdf", "%PDF", None), (None, "x", None), ("text/html", "&#0;&#55296;&#1114112;", "&#0;&#55296;&#1114112;"),
+        ("application/json", '{"a": 1}', '{"a": 1}'), ("application/pdf", "%PDF", None), (None, "x", "x"), ("text/html", "&#0;&#55296;&#1114112;", "&#0;&#55296;&#1114112;"),
     ],
 )
 def test_extract_text(spark, mime, content, expected):
@@ -357,3 +357,90 @@ def test_postings_count_terms_without_a_shuffle(spark):
 def test_local_identifier(spark, value, expected):
     df = spark.createDataFrame([(value,)], "v string")
     assert df.select(ids.local_identifier(F.col("v"))).first()[0] == expected
+
+
+# Order keys, waits, sources
+
+
+def test_order_of_long_pages(spark):
+    """Entries beyond 100,000 of a page, and page numbers taken from long time stamps, keep their order."""
+    from shelfmark.operators.jobs import jobs_from_identifiers
+
+    rows = [("s", n, at(0), p, "p:1") for n, p in [(1, 0), (1, 99_999), (1, 100_000), (1, 2_000_000), (2, 0), (20240101123000123, 5)]]
+    listed = spark.createDataFrame(rows, "source string, page_no bigint, request_at timestamp_ntz, position int, pid string")
+    found = db.release_order(jobs_from_identifiers(listed)).collect()
+    assert [(r["seq"].number, r["seq"].position) for r in found] == [(n, p) for _, n, _, p, _ in rows]
+    assert len({r["seq"] for r in found}) == len(rows)
+
+
+def test_fan_out_follows_all_feeds_at_equal_times(spark):
+    listing = spark.createDataFrame([("t:1", "A")], "pid string, dsid string")
+    jobs = frame(spark, ("object", "CREATE", "t:1", "", at(0), 0, (1 << 62) + 5), ("datastream", "UPDATE", "t:1", "A", at(0), 0, (1 << 62) + 9))
+    rows = db.release_order(jobs.unionByName(fan_out(jobs, listing))).collect()
+    assert [(r["op"], r["seq"].generation) for r in rows] == [("CREATE", 0), ("UPDATE", 0), ("CREATE", 1)]
+
+
+@pytest.mark.parametrize("longest", [7, 64, 86_400])
+def test_interruptions_with_very_different_waits(spark, longest):
+    import random
+
+    rng = random.Random(longest)
+    delays = [d for d in (1, 2, 3, 7, 63, 64, 65, 86_399, 86_400) if d <= longest] + [0]
+    jobs = [("object", "UPDATE", f"p:{i % 7}", "", at(rng.randint(0, 3 * longest)), rng.choice(delays), i) for i in range(300)]
+    events = [(f"p:{i % 7}", at(rng.randint(0, 4 * longest)), 1000 + i) for i in range(40)]
+    df = spark.createDataFrame(events, "pid string, at timestamp_ntz, n bigint")
+    df = df.select("pid", "at", F.struct(F.lit(0).alias("generation"), F.lit(0).alias("feed"), F.lit("").alias("source"), F.col("n").alias("number"), F.lit(0).cast("bigint").alias("position")).alias("seq"))
+    got = {r["seq"].number: r["interrupted"] for r in db.mark_interrupted(frame(spark, *jobs), df, "pid", 1, longest).collect()}
+    for _, _, pid, _, arrival, delay, n in jobs:
+        hit = any(e == pid and (t, m) > (arrival, n) and t < arrival + dt.timedelta(seconds=delay) for e, t, m in events)
+        assert got[n] == (delay > 0 and hit), (n, delay)
+
+
+def test_debounce_with_waits_of_a_second_and_a_day(spark):
+    jobs = [("object", "UPDATE", "t:1", "", at(t), d, n) for n, (t, d) in enumerate([(0, 86_400), (5_000, 1), (5_002, 86_400), (90_000, 1), (90_003, 1), (90_004, 86_400)])]
+    assert column(db.debounce(frame(spark, *jobs), min_delay_s=1, max_delay_s=86_400), "seq") == [1, 3, 4, 5]
+
+
+def test_plan_of_configured_sources(spark):
+    state = spark.createDataFrame([("old", NOW, None, None), ("gone", NOW, None, None)], schemas.LAST_RUN)
+    sources = spark.createDataFrame([("old",), ("new",), ("new",)], "source string")
+    got = {r["source"]: r["action"] for r in harvest.plan_harvest(state, NOW, sources=sources).collect()}
+    assert got == {"old": "INCREMENTAL", "new": "FULL"}
+
+
+def test_smallest_bound_reaches_the_scan(spark):
+    path = scratch_dir(spark, "changed")
+    spark.createDataFrame([("a", at(0)), ("a", at(9)), ("b", at(9))], "source string, ts timestamp_ntz").write.parquet(path)
+    plan = spark.createDataFrame([("a", at(5)), ("b", at(7))], "source string, from_ts timestamp_ntz")
+    found = harvest.changed_since(spark.read.parquet(path), "ts", plan)
+    assert found.count() == 2
+    assert "GreaterThanOrEqual(ts," in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_document_without_pid_fails_with_a_message(spark):
+    profiles = spark.createDataFrame([], schemas.OBJECT_PROFILES)
+    good, bad = docs.split_failures(docs.build_objects(spark.createDataFrame([(None,), ("p:1",)], "pid string"), profiles))
+    assert good.count() == 0 and bad.count() == 2
+    kinds = spark.createDataFrame([("datastream", None, "D"), ("datastream", "p", None), ("object", "p", "D")], "kind string, pid string, dsid string")
+    assert [r[0] for r in kinds.select(ids.doc_id(F.col("kind"), F.col("pid"), F.col("dsid"))).collect()] == [None, "p", "p"]
+
+
+def test_character_references(spark):
+    raw = "&Eacute;&rarr; &copy 2020 &notit; &#233;&#xE9; &#00065; &#99999999999; &unknown; & &;"
+    got = spark.createDataFrame([(raw,)], "t string").select(text.unescape(F.col("t"))).first()[0]
+    assert got == "É→ © 2020 ¬it; éé A &#99999999999; &unknown; & &;"
+
+
+@pytest.mark.parametrize(
+    "content, mime, expected",
+    [
+        ("plain wörds".encode(), None, "plain wörds"), ("<html><body>é &rarr; x</body></html>".encode("latin1"), "text/html; charset=ISO-8859-1", "é → x"),
+        ("<?xml version='1.0' encoding='ISO-8859-1'?><a>é “</a>".encode("cp1252"), "text/xml", "é “"), (b"<!DOCTYPE html><p>hi</p>", "application/octet-stream", "hi"),
+        (b"\x00\x01%PDF", "application/octet-stream", None), ("äö".encode("utf-16"), "text/plain; charset=utf-16", "äö"),
+        ("<html><head><meta charset='windows-1252'></head><body>\x80</body>".encode("latin1"), "text/html", "€"), (b"\xff ok", "text/plain", "� ok"),
+        (b"<?xml version='1.0'?><r>a</r>", "", "a"), (None, None, None),
+    ],
+)
+def test_text_by_charset_and_detected_type(spark, content, mime, expected):
+    df = spark.createDataFrame([(content, mime)], "content binary, mime string")
+    assert df.select(text.extract_text(F.col("content"), F.col("mime"))).first()[0] == expected

@@ -52,7 +52,7 @@ def test_every_method_gives_its_jobs(parsed):
     good, _ = msg.split_malformed(parsed)
     found = {}
     for j in derive_jobs(good).orderBy("seq").collect():
-        found.setdefault(j["seq"] // 16, []).append((j["kind"], j["op"], j["dsid"], j["delay_s"]))
+        found.setdefault(j["seq"].number, []).append((j["kind"], j["op"], j["dsid"], j["delay_s"]))
         assert j["ready_at"] - j["arrival"] == dt.timedelta(seconds=j["delay_s"])
         assert j["doc_id"] == ("test-rest:1" if j["kind"] == "object" or not j["dsid"] else f"test-rest:1:{j['dsid']}")
     assert found == {i: jobs for i, (_, _, jobs) in enumerate(CASES) if jobs}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.config import DSID_SCHEME, PipelineConfig
 from shelfmark.functions.times import plus_seconds
 from shelfmark.operators.index_tables import IndexTables
+from shelfmark.operators.jobs import MESSAGE_FEED, sequence
 from shelfmark.sources.repository import Repository
 
 DAY_S = 86400
@@ -173,7 +174,7 @@ def large_parents(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.lit("object").alias("kind"), F.lit("CREATE").alias("op"),
         F.concat(F.lit("order:"), F.col("o_orderkey")).alias("pid"), F.lit("").alias("dsid"),
-        F.col("o_orderdate").alias("arrival"), F.lit(0).alias("delay_s"), F.col("o_orderkey").alias("seq"),
+        F.col("o_orderdate").alias("arrival"), F.lit(0).alias("delay_s"), sequence(MESSAGE_FEED, F.lit(""), F.col("o_orderkey"), F.lit(0)).alias("seq"),
     )
 
 

@@ -168,7 +168,11 @@ def _plan(mode: str) -> str:
   strptime({bound}, {read}) AS from_ts FROM last_run"""
 
 
-HARVEST_PLAN = f"WITH {LAST_RUN} {_plan('reference')} UNION ALL {_plan('corrected')}"
+HARVEST_PLAN = f"""
+WITH {LAST_RUN.replace("last_run AS", "known AS")},
+last_run AS (SELECT 'cust:' || c_custkey AS source, ts, expiration_date, resumption_token
+  FROM customer LEFT JOIN known ON known.source = 'cust:' || c_custkey)
+{_plan('reference')} UNION ALL {_plan('corrected')}"""
 
 CHANGED_SINCE_PLAN = f"""
 WITH {LAST_RUN}, plan AS ({_plan('corrected')})
@@ -217,9 +221,10 @@ FROM p"""
 
 UNION_FEEDS = f"""
 WITH {JOBS}, {PAGES}
-SELECT kind, op, pid, dsid, doc_id, arrival, delay_s, ready_at FROM jobs
+SELECT kind, op, pid, dsid, doc_id, arrival, delay_s, ready_at, 0 AS generation, 0 AS feed, '' AS source, seq // 16 AS number, seq % 16 AS position FROM jobs
 UNION ALL SELECT 'object', 'CREATE', 'doc:' || doc_id, '', 'doc:' || doc_id, TIMESTAMP '2024-02-01' + to_seconds(page_no * 60), 0,
-  TIMESTAMP '2024-02-01' + to_seconds(page_no * 60) FROM pages_of WHERE NOT lost"""
+  TIMESTAMP '2024-02-01' + to_seconds(page_no * 60), 0, 1, source, page_no, row_number() OVER (PARTITION BY source, page_no ORDER BY doc_id) - 1
+FROM pages_of WHERE NOT lost"""
 
 FAN_OUT = f"""
 WITH {JOBS},{settled("reference")},{DATASTREAMS}

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark import schemas
 from shelfmark.config import DEFAULT_RULES, JobRule
 from shelfmark.functions import ids, times
 from shelfmark.functions.text import extract_text
@@ -34,9 +35,23 @@ DAYS = {"min_delay_s": ad.DAY_S, "max_delay_s": 5 * ad.DAY_S}
 UPDATES_ONLY = "methodName LIKE 'modify%' OR methodName LIKE 'add%' OR methodName LIKE 'purge%' OR methodName = 'ingest'"
 
 
+def seq_number() -> Column:
+    """The order key as one number, as the SQL counterparts have it: below 16 jobs a message, fan-outs after all others."""
+    seq = F.col("seq")
+    return seq["generation"].cast("bigint") * (1 << 62) + seq["number"] * 16 + seq["position"]
+
+
+def numbered(fn: Query) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = fn(spark, sf)
+        return df.withColumn("seq", seq_number()) if "seq" in df.columns and "struct" in dict(df.dtypes)["seq"] else df
+
+    return run
+
+
 def query(name: str, oracle: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = numbered(fn)
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -122,7 +137,8 @@ def last_run(spark, sf):
 @query("harvest_plan", sql.HARVEST_PLAN)
 def harvest_plan(spark, sf):
     state = last_run(spark, sf)
-    return by_mode(lambda m: harvest.plan_harvest(state, NOW, m))
+    sources = ad.table(spark, sf, "customer").select(F.concat(F.lit("cust:"), F.col("c_custkey")).alias("source"))
+    return by_mode(lambda m: harvest.plan_harvest(state, NOW, m, sources))
 
 
 @query("harvest_next_run", sql.NEXT_RUN)
@@ -174,7 +190,11 @@ def job_ids_labels(spark, sf):
 @query("union_feeds", sql.UNION_FEEDS)
 def union_feeds(spark, sf):
     listed = jobs.jobs_from_identifiers(pages.explode_identifiers(harvest_pages(spark, sf)))
-    return jobs.union_jobs(feed(spark, sf), listed).drop("seq")
+    seq = F.col("seq")
+    return jobs.union_jobs(feed(spark, sf), listed).select(
+        *[c for c in schemas.JOB_COLUMNS if c != "seq"], seq["generation"].alias("generation"), seq["feed"].alias("feed"),
+        seq["source"].alias("source"), seq["number"].alias("number"), seq["position"].alias("position"),
+    )
 
 
 @query("fan_out", sql.FAN_OUT)
@@ -217,7 +237,7 @@ def filter_all(spark, sf):
 
 @query("user_predicate", sql.jobs_where("op = 'DELETE' OR seq % 3 = 0"))
 def user_predicate(spark, sf):
-    return filtered(lambda: (F.col("op") == "DELETE") | (F.col("seq") % 3 == 0))(spark, sf)
+    return filtered(lambda: (F.col("op") == "DELETE") | (seq_number() % 3 == 0))(spark, sf)
 
 
 # Debounce
@@ -310,13 +330,13 @@ def content_docs(spark, sf):
 @query("extract_text", sql.EXTRACT_TEXT)
 def extract_page_text(spark, sf):
     html = ad.spread(ad.table(spark, sf, "pages"), "page_id")
-    return html.select("page_id", extract_text(F.col("html"), F.lit("text/html")).alias("content"))
+    return html.select("page_id", extract_text(F.col("html"), F.lit("text/html"), decoded=True).alias("content"))
 
 
 @query("extract_xml_text", sql.XML_TEXT)
 def extract_xml_text(spark, sf):
     bodies = ad.with_bodies(ad.spread(ad.messages(spark, sf), "msg_id"))
-    return bodies.select("msg_id", extract_text(F.col("body"), F.lit("text/xml")).alias("content"))
+    return bodies.select("msg_id", extract_text(F.col("body"), F.lit("text/xml"), decoded=True).alias("content"))
 
 
 def disseminated(spark, sf, transform=None):
