@@ -26,8 +26,8 @@ from .pieces import PieceEncoder, spread
 from .rows import as_rows, row_type, slices
 
 VOCABULARY = "byte_bpe_50k.json"
-MAX_PAIRS = 1 << 20
-SLICE = 4 << 20
+MAX_PAIRS = 1 << 18
+SLICE = 1 << 20
 
 
 def byte_characters() -> dict[str, int]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import regex
@@ -19,6 +19,7 @@ SPACE, LETTER, NUMBER, OTHER = range(4)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SLOTS = 1 << 21
 MAX_PIECES = 1 << 20
+USUAL_BITS = 20  # powers for 1 MB; a longer slice or text takes the next power of two
 
 
 @cache
@@ -40,7 +41,7 @@ def class_table() -> np.ndarray:
     return table
 
 
-@cache
+@lru_cache(maxsize=2)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2^64."""
     step, back = int(STEP), pow(int(STEP), -1, 1 << 64)
@@ -117,7 +118,7 @@ class PieceEncoder:
         begin = np.cumsum(sizes) - sizes
         starts = lead[piece_starts(points, np.searchsorted(lead, begin[sizes > 0]))]
         ends = np.append(starts[1:], len(data))
-        up, down = powers(1 << max(16, int(len(data)).bit_length()))
+        up, down = powers(1 << max(USUAL_BITS, (len(data) - 1).bit_length()))
         total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])])
         key = (total[ends] - total[starts]) * down[starts]
         key ^= key >> np.uint64(32)
