@@ -8,7 +8,8 @@ sorted only where an anchor starts, once forwards and once (reversed) backwards
 2. A passed anchor goes out with the bytes around it that its windows cover. Equal surroundings in one task go out once; the later ones
    are repeats already.
 3. Anchors are dealt by hash. A task sorts the bytes after and before its anchors; from the common prefixes of neighbours it gets classes of
-   equal prefixes for every length, so a window is a pair of classes, and all but the first of equal windows are repeats.
+   equal prefixes for every length, so a window is a pair of classes, and all but the first of equal windows are repeats. Surroundings that
+   repeated rows send from several tasks count once.
 4. Anchors seen ``HOT`` times or more (second filter) skip step 3: their windows go out by a 128-bit hash each, and the first occurrence is a minimum that
    tasks reduce before the shuffle. So no task gathers the surroundings of a passage that very many documents hold.
 
@@ -297,10 +298,13 @@ def sorted_spans(around: DataFrame, length: int, shallow: int) -> DataFrame:
         ids = table["id"]
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         number = ids.fill_null(0).to_numpy()
-        order = np.empty(len(key), np.int64)
-        order[np.lexsort((at, t, number, known))] = np.arange(len(key))
-        row, start, size = repeats_among(key, order, at, room.astype(np.int64), table["bytes"].to_pylist(), length, shallow)
-        pick = pa.array(row)
+        own = np.lexsort((room, at, t, number, known))
+        again = np.zeros(len(own), bool)  # the same surrounding of a repeated row, from another task or flush: no repeat of itself
+        again[1:] = np.all([x[own[1:]] == x[own[:-1]] for x in (known, number, t, at, room)], axis=0)
+        own = own[~again]
+        around = table["bytes"].take(pa.array(own)).to_pylist()
+        row, start, size = repeats_among(key[own], np.arange(len(own)), at[own], room[own].astype(np.int64), around, length, shallow)
+        pick = pa.array(own[row])
         return pa.RecordBatch.from_arrays(
             [ids.combine_chunks().take(pick), table["t"].combine_chunks().take(pick), pa.array(start), pa.array(size)], ["id", "t", "start", "size"]
         )

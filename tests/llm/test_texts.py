@@ -201,6 +201,19 @@ def test_suffix_dedup_keeps_one_of_repeated_rows(spark):
     assert [r.n_removed for r in out if r.doc_id is None] == suffix_removed_in_first(text)
 
 
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_suffix_dedup_keeps_repeated_rows_of_two_tasks(spark, hot):
+    """Rows that repeat id and text in two partitions, without any other copy: nothing goes, and what a text repeats of itself or of another goes once."""
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefgh") for _ in range(400))
+    other = "".join(rng.choice("abcdefgh") for _ in range(300))
+    rows = [(1, text), (None, other), (2, text[50:250] + "-" + text[50:250])]
+    df = frame(spark, spark.sparkContext.parallelize(rows * 2, 2))
+    out = suffix_dedup.remove_repeats(df, carry=["doc_id", "text"], hot=hot).select("row.doc_id", "n_removed").collect()
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    assert sorted(map(tuple, out), key=key) == [(None, 0)] * 2 + [(1, 0)] * 2 + [(2, 400)] * 2
+
+
 def suffix_removed_in_first(text):
     return [suffix_dedup.brute_force([(0, text.encode())])[0][2]]
 
