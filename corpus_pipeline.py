@@ -26,9 +26,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
-    first = near_duplicates(docs).where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+    """The row with the smallest id of each group, null last; of rows that repeat the id, one.
+
+    Rows are numbered and written, so that each has the same number wherever it is read.
+    """
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", F.col("__row").alias("row"))
+    near = near_duplicates(rows.select(place.alias("place"), "text"), id_col="place")
+    first = near.where(F.col("id") == F.col("component_id")).select(F.col("id.row").alias("__row"))
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -183,3 +183,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in frames[5].collect()} == ids - {402}
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, run.collect())) == sorted(map(str, frames[5].collect()))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    """Repeated rows, one id with two texts, and copies without an id."""
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(str(rng.randrange(10**6)) for _ in range(40)) for _ in range(4))
+    rows = [(1, a), (1, a), (2, b), (5, b), (None, b), (0, c), (2, c), (None, d), (None, d), (3, None), (3, ""), (None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents").withColumn("n_chars", F.length("text"))
+    out = corpus_pipeline.simhash(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = sorted((r.text or "", -1 if r.doc_id is None else r.doc_id) for r in out.collect())
+    assert got == sorted([(a, 1), (b, 2), (c, 0), (d, -1), ("", 3)])
