@@ -94,7 +94,7 @@ def piece_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of whole texts; known pieces are held in numpy tables of bounded size."""
+    """Ids of whole texts; known pieces are held in numpy tables of bounded size, found by a hash and compared byte by byte."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
         self.encode = encode
@@ -102,9 +102,19 @@ class PieceEncoder:
 
     def reset(self) -> None:
         self.slot = np.full(SLOTS, -1, np.int32)
-        self.keys = np.zeros(0, np.uint64)
-        self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
-        self.ids, self.ids_at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.keys, self.text, self.ids = Growing(np.uint64), Growing(np.uint8), Growing(np.int32)
+        self.text_at, self.ids_at = Growing(np.int64, [0]), Growing(np.int64, [0])
+
+    def add(self, keys: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Encode pieces and append them to the tables; gives their numbers."""
+        encoded = self.encode(pieces)
+        number = self.keys.size + np.arange(len(pieces))
+        self.keys.append(keys)
+        self.text_at.append(self.text.size + np.cumsum([len(p) for p in pieces]))
+        self.text.append(np.frombuffer(b"".join(pieces), np.uint8))
+        self.ids_at.append(self.ids.size + np.cumsum([len(e) for e in encoded]))
+        self.ids.append(np.array([i for e in encoded for i in e], np.int32))
+        return number
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and for each text the position after its last one."""
@@ -123,8 +133,9 @@ class PieceEncoder:
         key = (total[ends] - total[starts]) * down[starts]
         key ^= key >> np.uint64(32)
         known = self.look_up(key, data, starts, ends)
-        count = (self.ids_at[1:] - self.ids_at[:-1])[known]
-        ids = self.ids[spread(self.ids_at[known], count)]
+        ids_at = self.ids_at.values
+        count = ids_at[known + 1] - ids_at[known]
+        ids = self.ids.values[spread(ids_at[known], count)]
         after = np.concatenate([[0], np.cumsum(count)])
         return ids, after[np.searchsorted(starts, begin + sizes)]
 
@@ -132,32 +143,60 @@ class PieceEncoder:
         place = (key & np.uint64(SLOTS - 1)).astype(np.int64)
         known = self.slot[place].astype(np.int64)
         hit = known >= 0
-        hit[hit] = self.keys[known[hit]] == key[hit]
+        hit[hit] = self.keys.values[known[hit]] == key[hit]
         missed = np.flatnonzero(~hit)
+        raw = data.tobytes()
+        cut = lambda at: [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
         if len(missed):
-            if len(self.keys) > MAX_PIECES:
+            if self.keys.size > MAX_PIECES:
                 self.reset()
                 return self.look_up(key, data, starts, ends)
             new, first, which = np.unique(key[missed], return_index=True, return_inverse=True)
-            first = missed[first]
-            raw = data.tobytes()
-            pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            encoded = self.encode(pieces)
-            number = len(self.keys) + np.arange(len(new))
-            self.keys = np.concatenate([self.keys, new])
-            self.text = np.concatenate([self.text, np.frombuffer(b"".join(pieces), np.uint8)])
-            self.text_at = np.concatenate([self.text_at, self.text_at[-1] + np.cumsum([len(p) for p in pieces])])
-            self.ids = np.concatenate([self.ids, np.array([i for e in encoded for i in e], np.int32)])
-            self.ids_at = np.concatenate([self.ids_at, self.ids_at[-1] + np.cumsum([len(e) for e in encoded])])
+            number = self.add(new, cut(missed[first]))
             self.slot[(new & np.uint64(SLOTS - 1)).astype(np.int64)] = number
             known[missed] = number[which]
-        # The piece itself, not only its hash, must be the known one.
-        size = ends - starts
-        same = (self.text_at[known + 1] - self.text_at[known]) == size
-        if not same.all() or not np.array_equal(self.text[spread(self.text_at[known], size)], data[spread(starts, size)]):
-            raise RuntimeError("two pieces share a 64-bit hash")
+        # The piece itself, not only its hash, must be the known one: other pieces of that hash get entries that no slot names.
+        other = np.flatnonzero(~self.same(known, data, starts, ends))
+        if len(other):
+            pieces = cut(other)
+            place_of = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
+            number = self.add(np.zeros(len(place_of), np.uint64), list(place_of))
+            known[other] = number[[place_of[p] for p in pieces]]
         return known
 
+    def same(self, known, data, starts, ends) -> np.ndarray:
+        """Whether each piece is the known one, byte for byte."""
+        text_at = self.text_at.values
+        size = ends - starts
+        same = (text_at[known + 1] - text_at[known]) == size
+        at = np.flatnonzero(same)
+        differs = self.text.values[spread(text_at[known[at]], size[at])] != data[spread(starts[at], size[at])]
+        if differs.any():
+            owner = np.repeat(at, size[at])
+            same[owner[differs]] = False
+        return same
+
+
+class Growing:
+    """An array that grows by doubling."""
+
+    def __init__(self, kind, first=()):
+        self.room = np.array(first, kind) if len(first) else np.zeros(1, kind)
+        self.size = len(first)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+    def append(self, more: np.ndarray) -> None:
+        need = self.size + len(more)
+        if need > len(self.room):
+            room = np.zeros(max(need, 2 * len(self.room)), self.room.dtype)
+            room[: self.size] = self.values
+            self.room = room
+        self.room[self.size : need] = more
+        self.size = need
+
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All positions of the ranges, one after another."""
