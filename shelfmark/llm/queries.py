@@ -12,6 +12,7 @@ from .line_dedup import dedup_lines
 from .lm_score import score_texts
 from .quality import judge
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
 from .url_filter import canonical, filter_urls, host_of, path_of
 
@@ -94,3 +95,8 @@ def op5_quality(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling", sql.SPELLING)
+def op13_spelling(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))

