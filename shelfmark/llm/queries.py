@@ -14,7 +14,9 @@ from .quality import judge
 from .simhash import near_duplicates
 from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
+from .topk_search import search
 from .url_filter import canonical, filter_urls, host_of, path_of
+from .whitening import whiten
 
 QUERIES, ORACLES = {}, {}
 
@@ -97,6 +99,17 @@ def op10_suffix_dedup(spark, sf_dir):
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_topk", sql.TOP_K)
+def op12_topk(spark, sf_dir):
+    """Queries are the rows whose id is divisible by 50; candidates are all rows."""
+    return search(table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0).withColumnRenamed("id", "vec_id")
+
+
 @query("op13_spelling", sql.SPELLING)
 def op13_spelling(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"))

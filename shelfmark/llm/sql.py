@@ -68,3 +68,14 @@ f AS (
   FROM w LEFT JOIN best ON best.word = w.word AND place = 1),
 up AS (SELECT word, word AS root, form FROM f UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON up.form = f.word)
 SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up ON up.word = f.word AND up.form IS NULL"""
+
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.x) = 0 THEN 0 ELSE list_inner_product(q.x, c.x)::BIGINT END AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
