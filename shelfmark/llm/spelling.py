@@ -7,9 +7,9 @@ equal symbols. States with one arc that accept nothing allow no edit and are joi
 
 The composition is cut by initial states: those that the first ``HEAD`` symbols lead to, of the words and of the reversed words. A near pair of
 words of 7 or more code points shares its first three or its last three; pairs of the second kind are counted only where they don't share the
-first three, so each pair is found once. A state with more than ``LIMIT`` words behind it is replaced by the states one symbol further;
-pairs whose edit lies right at the state are then found by the symbols after the edit, in groups no larger than the alphabet. So no
-group grows with the data. Partitions give sums and maxima per word, never pairs.
+first three, so each pair is found once. A state with more than ``LIMIT`` words behind it is replaced by those one symbol beyond
+the place where its words part first; pairs whose edit lies right there are then found by the symbols after the edit, in groups no larger than the
+alphabet. So no group grows with the data. Partitions give sums and maxima per word, never pairs.
 
 Words are counted per task before the shuffle. Roots are found by following forms, twice as far in every round; the counts grow tenfold with every
 form, so the rounds are few.
@@ -34,7 +34,7 @@ from .rows import as_rows, field, slices
 LEAST_LENGTH, LEAST_COUNT, FORM_RATIO = 7, 2, 10
 DELETE_EVERY = 31
 HEAD = 3
-LIMIT = 20_000
+LIMIT = 4_000
 WORDS_HELD = 1 << 18
 PLAIN, EDGE = 0, 1
 
@@ -223,39 +223,38 @@ def edge_group(reverse: bool, key: str, tail: str, symbols: list[str], counts: l
 def groups(vocabulary: DataFrame, limit: int) -> tuple[DataFrame, list[str]]:
     """``kind, reverse, key, tail, symbol, rest, n``: the members of all groups; and the scratch tables they are read from."""
     spark, used = vocabulary.sparkSession, []
-    both = F.array(F.struct(F.lit(False).alias("reverse"), F.col("word").alias("text")), F.struct(F.lit(True).alias("reverse"), F.reverse("word").alias("text")))
-    left = vocabulary.select("n", F.inline(both))
-    made, depth = [], HEAD
-
-    def after(at: int) -> Column:
-        return F.expr(f"substring(text, {at + 1})")
 
-    while True:
-        keyed = left.select("reverse", F.substring("text", 1, depth).alias("key"), "text", "n")
-        path = in_scratch(spark, "spelling-crowded")
-        keyed.groupBy("reverse", "key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > limit).drop("members").write.parquet(path)
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = in_scratch(spark, name)
+        df.write.parquet(path)
         used.append(path)
-        crowded = spark.read.schema("reverse boolean, key string").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def members(rows: DataFrame, kind: int, **columns: Column) -> DataFrame:
         none = F.lit("")
-        if crowded.isEmpty():
-            made.append(keyed.select(F.lit(PLAIN).alias("kind"), "reverse", "key", none.alias("tail"), none.alias("symbol"), after(depth).alias("rest"), "n"))
-            break
-        plain = keyed.join(crowded, ["reverse", "key"], "left_anti")
-        made.append(plain.select(F.lit(PLAIN).alias("kind"), "reverse", "key", none.alias("tail"), none.alias("symbol"), after(depth).alias("rest"), "n"))
-        path = in_scratch(spark, "spelling-deeper")
-        keyed.join(crowded, ["reverse", "key"], "left_semi").write.parquet(path)
-        used.append(path)
-        deeper = spark.read.schema("reverse boolean, key string, text string, n bigint").parquet(path)
-        whole = F.struct(after(depth).alias("tail"), none.alias("symbol"))
-        one = F.struct(after(depth + 1).alias("tail"), F.substring("text", depth + 1, 1).alias("symbol"))
-        ways = F.when(F.length("text") > depth, F.array(whole, one)).otherwise(F.array(whole))
-        edge = deeper.select("reverse", "key", "n", F.inline(ways))
-        made.append(edge.select(F.lit(EDGE).alias("kind"), "reverse", "key", "tail", "symbol", none.alias("rest"), "n"))
-        left, depth = deeper.where(F.length("text") > depth).select("n", "reverse", "text"), depth + 1
-    out = made[0]
-    for more in made[1:]:
-        out = out.unionByName(more)
-    return out, used
+        made = {"tail": none, "symbol": none, "rest": none, **columns}
+        return rows.select(F.lit(kind).alias("kind"), "reverse", "key", *[c.alias(name) for name, c in made.items()], "n")
+
+    both = F.array(F.struct(F.lit(False).alias("reverse"), F.col("word").alias("text")), F.struct(F.lit(True).alias("reverse"), F.reverse("word").alias("text")))
+    left, out = vocabulary.select("n", F.inline(both)).withColumn("depth", F.lit(HEAD)), None
+    while True:
+        keyed = left.withColumn("key", F.expr("substring(text, 1, depth)"))
+        # What all words of a crowded state begin with: where they part first, and no edit lies before.
+        parting = F.zip_with(F.split("low", ""), F.split("high", ""), lambda x, y: F.coalesce(x != y, F.lit(True)))
+        counted = keyed.groupBy("reverse", "key").agg(F.count(F.lit(1)).alias("members"), F.min("text").alias("low"), F.max("text").alias("high"))
+        crowded = written(counted.where(F.col("members") > limit).select("reverse", "key", (F.array_position(parting, True) - 1).cast("int").alias("common")), "spelling-crowded")
+        few = keyed if crowded.isEmpty() else keyed.join(crowded, ["reverse", "key"], "left_anti")
+        plain = members(few, PLAIN, rest=F.expr("substring(text, depth + 1)"))
+        out = plain if out is None else out.unionByName(plain)
+        if few is keyed:
+            return out, used
+        deeper = written(keyed.join(crowded, ["reverse", "key"]).select("reverse", F.expr("substring(text, 1, common)").alias("key"), "text", "n", "common"), "spelling-deeper")
+        whole = F.struct(F.expr("substring(text, common + 1)").alias("tail"), F.lit("").alias("symbol"))
+        one = F.struct(F.expr("substring(text, common + 2)").alias("tail"), F.expr("substring(text, common + 1, 1)").alias("symbol"))
+        longer = F.length("text") > F.col("common")
+        edge = deeper.select("reverse", "key", "n", F.inline(F.when(longer, F.array(whole, one)).otherwise(F.array(whole))))
+        out = out.unionByName(members(edge, EDGE, tail=F.col("tail"), symbol=F.col("symbol")))
+        left = deeper.where(longer).select("n", "reverse", "text", (F.col("common") + 1).alias("depth"))
 
 
 def near_words(vocabulary: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, list[str]]:

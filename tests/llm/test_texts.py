@@ -253,3 +253,21 @@ def test_components(spark):
     ids = spark.createDataFrame([(x, x) for x in nodes], "node bigint, id bigint")
     labels = components(spark.createDataFrame(edges + edges[:9], "a bigint, b bigint"))
     assert {r.node: r.component_id for r in smallest(labels, ids).collect()} == reach(nodes, edges)
+
+
+def test_pieces_that_share_a_hash():
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2^64, whatever the factor."""
+    from tokenizers import Tokenizer
+
+    swap = str.maketrans("ab", "ba")
+    one = "a"
+    for _ in range(10):
+        one += one.translate(swap)
+    other = one.translate(swap)
+    rows = [f"{one}\n{other}", other, one, f"{other} {one} {other}", f"the {one}"]
+    library = Tokenizer.from_file(tokenizer_file(bpe.VOCABULARY))
+    want = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    for encode in (bpe.bpe_of(bpe.VOCABULARY).encode, token_files.encoder_of(bpe.VOCABULARY)):
+        for _ in range(2):
+            assert [e.tolist() for e in encode([t.encode() for t in rows])] == want
+            assert [encode([t.encode()])[0].tolist() for t in rows] == want
