@@ -20,7 +20,7 @@ from shelfmark.functions.times import ntz, time_slice
 from shelfmark.operators import documents, index_tables
 from shelfmark.operators.debounce import mark_interrupted
 from shelfmark.operators.filters import JobPredicate, filter_jobs, predicates_from_config
-from shelfmark.operators.index_tables import IndexTables
+from shelfmark.operators.index_tables import Change, IndexTables
 from shelfmark.operators.jobs import fan_out_sequence
 from shelfmark.operators.skew import salted_lookup
 from shelfmark.schemas import DATASTREAM_COLUMNS, OBJECT_COLUMNS
@@ -37,6 +37,7 @@ class Outcome:
     tables: IndexTables
     waiting: DataFrame  # jobs not yet due
     failed: DataFrame
+    changes: dict[str, Change]  # the same new tables as what changes in each
 
 
 def position(at: str = "ready_at") -> Column:
@@ -256,30 +257,42 @@ def apply_jobs(
 
     # Everything after the last removal counts, so removals go first.
     deletes = remaining.where(F.col("op") == "DELETE")
-    after = index_tables.delete_cascade(tables, deletes.where(F.col("kind") == "object"))
-    after = index_tables.delete_datastreams(after, deletes.where(F.col("kind") == "datastream"), mode)
+    of_objects, of_streams = deletes.where(F.col("kind") == "object"), deletes.where(F.col("kind") == "datastream")
+    after = index_tables.delete_cascade(tables, of_objects)
+    after = index_tables.delete_datastreams(after, of_streams, mode)
+    pids = of_objects.select(F.col("pid").alias("PID")).distinct()
+    streams = of_streams.select(F.col("pid").alias("PID"), "doc_id").distinct()
 
     object_changes = _changes(object_docs, OBJECT_COLUMNS, "_dissemination")
     typed = {name: kind for name, kind in cfg.properties.items() if name in after.objects.columns}
     object_changes = documents.typed_properties(object_changes, typed)
-    new_objects, object_result = index_tables.upsert(after.objects, object_changes, writes="n")
-    new_datastreams, datastream_result = index_tables.upsert(
-        after.datastreams, _changes(datastream_docs, DATASTREAM_COLUMNS, "CONTENT"), writes="n"
-    )
-    results = [
-        object_result.withColumn("kind", F.lit("object")), datastream_result.withColumn("kind", F.lit("datastream"))
-    ]
+    datastream_changes = _changes(datastream_docs, DATASTREAM_COLUMNS, "CONTENT")
+    new_objects, _ = index_tables.upsert(after.objects, object_changes, writes="n")
+    new_datastreams, _ = index_tables.upsert(after.datastreams, datastream_changes, writes="n")
+    rows = {
+        "objects": index_tables.upserted(after.objects, object_changes, writes="n"),
+        "datastreams": index_tables.upserted(after.datastreams, datastream_changes, writes="n"),
+    }
+    changes = {
+        "objects": Change(rows["objects"], None, pids),
+        "datastreams": Change(rows["datastreams"], streams if mode == CORRECTED else None, pids),
+    }
+    results = [(rows["objects"], "object", "PID"), (rows["datastreams"], "datastream", "PID")]
     extra = dict(after.extra)
     for kind in handlers or {}:
-        gone = deletes.where(F.col("kind") == kind).select("doc_id").distinct()
+        gone = deletes.where(F.col("kind") == kind).select(F.col("pid").alias("PID"), "doc_id").distinct()
         kept = extra[kind].join(gone, "doc_id", "left_anti").select(*extra[kind].columns)
         fields = [c for c in kept.columns if c not in ("doc_id", "_version")]
-        extra[kind], result = index_tables.upsert(kept, _changes(built[kind], fields), writes="n")
-        results.append(result.withColumn("kind", F.lit(kind)))
-
-    succeeded = results[0]
-    for result in results[1:]:
-        succeeded = succeeded.unionByName(result)
+        own = _changes(built[kind], fields)
+        extra[kind], _ = index_tables.upsert(kept, own, writes="n")
+        changes[kind] = Change(index_tables.upserted(kept, own, writes="n"), gone)
+        pid = built[kind].select("doc_id", F.col("pid").alias("_of")).distinct()
+        results.append((changes[kind].rows.join(pid, "doc_id"), kind, "_of"))
+
+    succeeded = None
+    for result, kind, pid in results:
+        own = result.select("doc_id", F.col(pid).alias("PID"), "created", F.lit(kind).alias("kind"))
+        succeeded = own if succeeded is None else succeeded.unionByName(own)
     columns = ["doc_id", "pid", "last", "error_message"]
     outcomes = object_docs.select(*columns)
     for kind, docs in built.items():
@@ -290,8 +303,10 @@ def apply_jobs(
     errors = index_tables.write_errors(errors, failed)
     if now is not None:
         errors = index_tables.expire_errors(errors, now)
+    over = index_tables.clearing(succeeded, mode).select("PID", "doc_id").unionByName(streams.select("PID", "doc_id")).distinct()
+    changes["errors"] = Change(index_tables.error_rows(failed), over, pids)
     done = replace(after, objects=new_objects, datastreams=new_datastreams, errors=errors, extra=extra)
-    return Outcome(done, unreplaced.where(~is_due), failed)
+    return Outcome(done, unreplaced.where(~is_due), failed, changes)
 
 
 def _changes(docs: DataFrame, fields, nested: str | None = None) -> DataFrame:

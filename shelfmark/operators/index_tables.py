@@ -30,6 +30,25 @@ class IndexTables:
         return {"objects": self.objects, "datastreams": self.datastreams, "errors": self.errors, **self.extra}
 
 
+@dataclass(frozen=True)
+class Change:
+    """What becomes of a table: ``documents`` (key and routing columns) and everything below ``pids`` (``PID``) go, then ``rows`` replace those of
+    their key. Without rows or documents to remove a part is left out."""
+
+    rows: DataFrame | None = None
+    documents: DataFrame | None = None
+    pids: DataFrame | None = None
+
+
+def upserted(current: DataFrame, changes: DataFrame, key: str = "doc_id", writes: str | None = None) -> DataFrame:
+    """``changes`` with their new ``_version`` and ``created``; of ``current`` only keys and versions are read."""
+    count = F.col(writes).cast("bigint") if writes else F.lit(1).cast("bigint")
+    prior = current.select(key, F.col("_version").alias("_prior")).join(changes.select(key), key, "left_semi")
+    return changes.join(prior, key, "left").withColumns(
+        {"_version": F.coalesce(F.col("_prior"), F.lit(0)) + count, "created": F.col("_prior").isNull()}
+    )
+
+
 def upsert(
     current: DataFrame, changes: DataFrame, key: str = "doc_id", writes: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -38,15 +57,10 @@ def upsert(
     ``changes`` has one row per key and the columns of ``current`` without ``_version``; ``writes`` names a column with the
     number of writes the row stands for (1 without it). Returns the new table and ``(key, created, _version)`` per change.
     """
-    count = F.col(writes).cast("bigint") if writes else F.lit(1).cast("bigint")
     columns = [c for c in current.columns if c != "_version"]
-    keys = changes.select(key)
     # Full rows on the left keep their side unshuffled when the changed keys are few.
-    kept = current.join(keys, key, "left_anti").select(*columns, "_version")
-    prior = current.select(key, F.col("_version").alias("_prior")).join(keys, key, "left_semi")
-    written = changes.join(prior, key, "left").withColumns(
-        {"_version": F.coalesce(F.col("_prior"), F.lit(0)) + count, "created": F.col("_prior").isNull()}
-    )
+    kept = current.join(changes.select(key), key, "left_anti").select(*columns, "_version")
+    written = upserted(current, changes, key, writes)
     table = kept.unionByName(written.select(*columns, "_version"))
     return table, written.select(key, "created", "_version")
 
@@ -74,18 +88,23 @@ def delete_datastreams(tables: IndexTables, keys: DataFrame, mode: str = "refere
     return result
 
 
-def clear_errors(errors: DataFrame, succeeded: DataFrame, mode: str = "reference") -> DataFrame:
-    """Remove the error rows of documents that were written (``succeeded``: ``kind, doc_id, created``).
+def clearing(succeeded: DataFrame, mode: str = "reference") -> DataFrame:
+    """Of the documents that were written (``kind, doc_id, created``) those whose errors go.
 
     ``reference`` keeps the error of a datastream that was overwritten rather than created.
     """
-    clears = succeeded
-    if check_mode(mode) != CORRECTED:
-        clears = succeeded.where((F.col("kind") == "object") | F.col("created"))
+    if check_mode(mode) == CORRECTED:
+        return succeeded
+    return succeeded.where((F.col("kind") == "object") | F.col("created"))
+
+
+def clear_errors(errors: DataFrame, succeeded: DataFrame, mode: str = "reference") -> DataFrame:
+    """Remove the error rows of documents that were written (``succeeded``: ``kind, doc_id, created``)."""
+    clears = clearing(succeeded, mode)
     return errors.join(clears.select("doc_id").distinct(), "doc_id", "left_anti").select(*errors.columns)
 
 
-def write_errors(errors: DataFrame, failed: DataFrame, now=None) -> DataFrame:
+def error_rows(failed: DataFrame, now=None) -> DataFrame:
     """One row per failed document, the last failure wins.
 
     ``failed``: ``op, pid, dsid, doc_id, ready_at, seq, error_message``. The time of failure is ``now``, or the job's own
@@ -102,8 +121,14 @@ def write_errors(errors: DataFrame, failed: DataFrame, now=None) -> DataFrame:
             F.struct("ready_at", "seq"),
         ).alias("row")
     ).select("doc_id", "row.*")
+    return rows.select(*ERROR_COLUMNS)
+
+
+def write_errors(errors: DataFrame, failed: DataFrame, now=None) -> DataFrame:
+    """The table with the ``error_rows`` of the failed documents in place of their earlier ones."""
+    rows = error_rows(failed, now)
     kept = errors.join(rows.select("doc_id"), "doc_id", "left_anti")
-    return kept.select(*ERROR_COLUMNS).unionByName(rows.select(*ERROR_COLUMNS))
+    return kept.select(*ERROR_COLUMNS).unionByName(rows)
 
 
 def expire_errors(errors: DataFrame, now, weeks: int = ERROR_RETENTION_WEEKS) -> DataFrame:

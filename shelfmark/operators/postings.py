@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import terms
+from shelfmark.operators.index_tables import Change, IndexTables
+
+# Analysed fields of the index tables: name of the field -> column.
+ANALYSED = {"objects": {"objects.LABEL": "LABEL"}, "datastreams": {"datastreams.LABEL": "LABEL", "datastreams.CONTENT": "CONTENT._content"}}
+KEY = ["field", "term", "doc_id"]
 
 
 def build_postings(docs: DataFrame, fields: dict[str, str], doc_id: str = "doc_id") -> DataFrame:
@@ -30,3 +35,34 @@ def build_postings(docs: DataFrame, fields: dict[str, str], doc_id: str = "doc_i
         ),
     )
     return ends.select("field", "doc_id", F.inline(counts)).select("field", "term", "doc_id", "n")
+
+
+def document_terms(table: str, rows: DataFrame) -> DataFrame:
+    """Postings of rows of an index table."""
+    fields = ANALYSED[table]
+    texts = [F.col(column).alias(f"_text{i}") for i, column in enumerate(fields.values())]
+    return build_postings(rows.select("doc_id", *texts), {name: f"_text{i}" for i, name in enumerate(fields)})
+
+
+def postings_change(tables: IndexTables, changes: dict[str, Change], keep=lambda df, name: df) -> Change:
+    """What becomes of the postings when the tables change: terms that are new or occur another number of times, and terms that are gone.
+
+    Of the tables only the analysed fields of documents that change are read. Unchanged terms of a changed document are not written again.
+    """
+    new, gone = None, None
+    for name in ANALYSED:
+        change, table = changes[name], tables.named()[name]
+        texts = table.select("doc_id", "PID", *{c.split(".")[0] for c in ANALYSED[name].values()})
+        documents = change.rows.select("doc_id")
+        if change.documents is not None:
+            documents = documents.unionByName(change.documents.select("doc_id"))
+        cleared = texts.join(change.pids.withColumn("_cleared", F.lit(True)), "PID", "left")
+        touched = cleared.join(documents.distinct().withColumn("_changed", F.lit(True)), "doc_id", "left")
+        before = touched.where(F.col("_cleared") | F.col("_changed"))
+        old_terms = keep(document_terms(name, before), f"{name}-old-terms")
+        new_terms = keep(document_terms(name, change.rows), f"{name}-new-terms")
+        added = new_terms.join(old_terms, [*KEY, "n"], "left_anti")
+        removed = old_terms.select(*KEY).join(new_terms.select(*KEY), KEY, "left_anti")
+        new = added if new is None else new.unionByName(added)
+        gone = removed if gone is None else gone.unionByName(removed)
+    return Change(new, gone)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
+from shelfmark import schemas
 from shelfmark.config import PipelineConfig
 from shelfmark.operators.apply import Handler, Outcome, apply_jobs
 from shelfmark.operators.debounce import settle
@@ -16,11 +18,20 @@ from shelfmark.sources.pages import explode_identifiers
 from shelfmark.sources.repository import Repository
 
 
+def read_feed(messages: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """(usable, malformed) of the raw messages that pass the topic, selector and text filters."""
+    selected = msg.message_selector(msg.topic_filter(msg.text_messages(messages), cfg.topic_filter), cfg.message_selector)
+    return msg.split_malformed(msg.parse_atom(selected), cfg.mode, cfg.rules)
+
+
 def message_jobs(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Jobs of raw messages: topic, selector and text filters, body parsing, derivation."""
-    selected = msg.message_selector(msg.topic_filter(msg.text_messages(messages), cfg.topic_filter), cfg.message_selector)
-    usable, _ = msg.split_malformed(msg.parse_atom(selected), cfg.mode, cfg.rules)
-    return derive_jobs(usable, cfg.rules, cfg.delay_unit_s)
+    return derive_jobs(read_feed(messages, cfg)[0], cfg.rules, cfg.delay_unit_s)
+
+
+def malformed_messages(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The messages among them that give no jobs because they cannot be read, with the ``reason``."""
+    return read_feed(messages, cfg)[1].select(*StructType.fromDDL(schemas.MALFORMED).fieldNames())
 
 
 def feed_jobs(

@@ -47,6 +47,10 @@ DATASTREAMS = (
     "CONTENT STRUCT<_uri: STRING, _content: STRING>, doc_id STRING, _version BIGINT"
 )
 ERRORS = "doc_id STRING, PID STRING, DSID STRING, job STRING, message STRING, timestamp TIMESTAMP_NTZ"
+# Search terms of the analysed fields; the field is named with its table.
+POSTINGS = "field STRING, term STRING, doc_id STRING, n BIGINT"
+# Messages that could not be used, and why.
+MALFORMED = "msg_id BIGINT, topic STRING, pid STRING, method_name STRING, body STRING, arrival TIMESTAMP_NTZ, reason STRING"
 
 OBJECT_COLUMNS = ("PID", "STATE", "LABEL", "OWNER_ID", "CREATED_DATE", "LAST_MODIFIED_DATE")
 DATASTREAM_COLUMNS = (

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +46,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shelfmark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    inner = "".join(f"/{folder}" for folder in getattr(_scopes, "folders", ()))
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}{inner}/{name}-{uuid.uuid4().hex}"
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Scratch folders made inside, by this thread, are deleted at its end."""
+    folder = scratch_dir(spark, name)
+    _scopes.folders = (*getattr(_scopes, "folders", ()), folder.rsplit("/", 1)[1])
+    try:
+        yield
+    finally:
+        _scopes.folders = _scopes.folders[:-1]
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

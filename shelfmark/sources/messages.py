@@ -74,18 +74,23 @@ def parse_atom(messages: DataFrame) -> DataFrame:
 
 
 def _malformed(mode: str, rules: tuple[JobRule, ...]) -> Column:
+    """Why a message cannot be used; null for a usable one."""
     broken = F.col("_corrupt_record").isNotNull()
     if check_mode(mode) == CORRECTED:
         # Methods whose jobs carry no datastream id do not depend on the body.
         needs_body = {r.method for r in rules if r.keep_dsid}
         independent = sorted({r.method for r in rules} - needs_body)
         broken = broken & ~F.col("method_name").isin(independent)
-    return F.coalesce(broken, F.lit(True)) | F.col("method_name").isNull() | F.col("pid").isNull()
+    return (
+        F.when(F.col("method_name").isNull(), "no method name")
+        .when(F.col("pid").isNull(), "no pid")
+        .when(F.coalesce(broken, F.lit(True)), "body is not well-formed")
+    )
 
 
 def split_malformed(
     parsed: DataFrame, mode: str = "reference", rules: tuple[JobRule, ...] = DEFAULT_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """(usable, malformed) messages: a broken body, a missing method name or pid is set aside, the rest goes on."""
-    bad = _malformed(mode, rules)
-    return parsed.where(~bad), parsed.where(bad)
+    """(usable, malformed) messages: a broken body, a missing method name or pid is set aside with its ``reason``, the rest goes on."""
+    reason = _malformed(mode, rules)
+    return parsed.where(reason.isNull()), parsed.withColumn("reason", reason).where(F.col("reason").isNotNull())

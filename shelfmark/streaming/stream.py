@@ -25,9 +25,11 @@ from shelfmark.operators.debounce import settle
 from shelfmark.operators.filters import JobPredicate
 from shelfmark.operators.harvest import latest_page, save_last_run
 from shelfmark.operators.jobs import union_jobs
-from shelfmark.plans.batch import feed_jobs, run_jobs
+from shelfmark.operators.index_tables import Change
+from shelfmark.operators.postings import postings_change
+from shelfmark.plans.batch import feed_jobs, malformed_messages, run_jobs
 from shelfmark.plans.store import Commit, IndexStore
-from shelfmark.session import empty_frame, materialize
+from shelfmark.session import empty_frame, materialize, scratch_scope
 from shelfmark.sources.pages import page_state
 from shelfmark.sources.repository import Repository
 
@@ -81,14 +83,15 @@ def debounce_stream(
     """Debounce a stream of job rows; ``released_jobs`` reads the result."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        found = _next(store, batch.where(F.col("op").isNotNull()), batch_id, cfg, clock_of(trigger))
-        if found is None or found[2] is None:
-            return
-        previous, feed, clock, own = found
-        settled = materialize(settle(feed, own.mode, *own.delays_s), "settled")
-        due = F.col("ready_at") <= ntz(clock)
-        settled.where(due).write.mode("overwrite").parquet(f"{store.root}/released/batch={batch_id}")
-        store.commit(previous, {"pending": (settled.where(~due), None)}, batch_id, clock)
+        with scratch_scope(store.spark, "debounce"):
+            found = _next(store, batch.where(F.col("op").isNotNull()), batch_id, cfg, clock_of(trigger))
+            if found is None or found[2] is None:
+                return
+            previous, feed, clock, own = found
+            settled = materialize(settle(feed, own.mode, *own.delays_s), "settled")
+            due = F.col("ready_at") <= ntz(clock)
+            settled.where(due).write.mode("overwrite").parquet(f"{store.root}/released/batch={batch_id}")
+            store.commit(previous, {"pending": (settled.where(~due), None)}, batch_id, clock)
 
     if clock_of(trigger) == WALL:
         jobs = jobs.unionByName(_ticks(store.spark, jobs, TICK_S))
@@ -113,30 +116,40 @@ def index_batch(
     final: bool = False,
     page_states: DataFrame | None = None,
     clock: str = ARRIVAL,
+    malformed: DataFrame | None = None,
     **options,
 ) -> Commit | None:
     """One micro-batch: settle waiting and new jobs, carry out the due ones, commit tables and waiting jobs together.
 
-    ``page_states`` are the states of the harvest pages among the batch; the sources' last-run state moves with the commit.
+    ``page_states`` are the states of the harvest pages among the batch; the sources' last-run state moves with the commit. ``malformed``
+    are the messages among it that could not be read; they are kept with it.
     ``final`` carries out everything, as when no further message is expected.
+
+    Only the buckets of due jobs are read, only changes are written, and scratch rows are gone when the commit is made.
     """
-    found = _next(store, jobs, batch_id, cfg, clock)
-    if found is None:
-        return None
-    previous, feed, clock, cfg = found
-    changed = {}
-    if page_states is not None:
-        state = save_last_run(store.read("last_run", previous), latest_page(page_states), cfg.mode)
-        changed["last_run"] = (state, None)
-    if clock is not None:
-        touched = store.touched(feed)
-        nearby = repository.only(touched, store.buckets)
-        tables = store.tables(previous, touched)
-        outcome = run_jobs(cfg, feed, tables, nearby, clock=None if final else clock, **options)
-        for name, df in outcome.tables.named().items():
-            changed[name] = (df, touched if store.routing(name) else None)
-        changed["pending"] = (outcome.waiting, None)
-    return store.commit(previous, changed, batch_id, clock)
+    with scratch_scope(store.spark, "micro-batch"):
+        found = _next(store, jobs, batch_id, cfg, clock)
+        if found is None:
+            return None
+        previous, feed, clock, cfg = found
+        whole, changes = {}, {}
+        if page_states is not None:
+            state = save_last_run(store.read("last_run", previous), latest_page(page_states), cfg.mode)
+            whole["last_run"] = (state, None)
+        if malformed is not None:
+            changes["malformed"] = Change(malformed)
+        if clock is not None:
+            due = feed if final else feed.where(F.col("ready_at") <= ntz(clock))
+            touched = store.touched(due)
+            tables = store.tables(previous, touched)
+            nearby = repository.only(touched, store.buckets)
+            outcome = run_jobs(cfg, feed, tables, nearby, clock=None if final else clock, **options)
+            changes |= outcome.changes
+            if store.analysed:
+                changes["postings"] = postings_change(tables, outcome.changes, materialize)
+            whole["pending"] = (outcome.waiting, None)
+        done = store.commit(previous, whole, batch_id, clock, changes)
+    return store.maintain(done)
 
 
 def run_stream(
@@ -163,7 +176,8 @@ def run_stream(
         rows = {n: batch.where(F.col(n).isNotNull()).select(f"{n}.*") for n, (df, _) in feeds.items() if df is not None}
         jobs = feed_jobs(cfg, rows.get("message"), rows.get("page"), predicates)
         states = page_state(rows["page"]) if "page" in rows else None
-        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, clock=clock_of(trigger), **options)
+        broken = malformed_messages(rows["message"], cfg) if "message" in rows else None
+        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, clock=clock_of(trigger), malformed=broken, **options)
 
     if clock_of(trigger) == WALL:
         wrapped.append(_ticks(store.spark, wrapped[0], TICK_S))

@@ -359,3 +359,23 @@ released AS (SELECT pid FROM (
   SELECT *, lead(arrival) OVER (PARTITION BY pid ORDER BY arrival, seq) AS nxt FROM views)
   WHERE nxt IS NULL OR nxt >= arrival + to_days(1))
 SELECT pid AS doc_id, count(*) AS version, 'seen ' || pid AS note FROM released GROUP BY pid"""
+
+
+# Messages whose bodies are whole; the others are kept aside.
+WHOLE = "FROM events WHERE event_id % 97 <> 0)"
+RETENTION_DAYS = 14
+STREAMED = apply_sql("reference", NO_SEEDS).replace("FROM events)", WHOLE)
+
+STREAM_BATCHES = f"""
+SELECT * FROM ({STREAMED}) WHERE tbl <> 'errors'
+  OR at_time > (SELECT max(arrival) FROM (WITH {JOBS.replace("FROM events)", WHOLE)} SELECT arrival FROM jobs)) - INTERVAL {RETENTION_DAYS} DAY
+UNION ALL SELECT 'malformed', msg_id::VARCHAR, NULL, 'body is not well-formed', arrival FROM (WITH {MESSAGES} SELECT * FROM messages WHERE msg_id % 97 = 0)"""
+
+STREAM_POSTINGS = rf"""
+WITH docs AS (SELECT * FROM ({STREAMED}) WHERE tbl <> 'errors'),
+texts AS (
+  SELECT tbl || '.LABEL' AS field, doc_id, detail AS text FROM docs
+  UNION ALL SELECT 'datastreams.CONTENT', doc_id, text FROM docs JOIN (WITH {DATASTREAMS} SELECT doc_id, text FROM streams) USING (doc_id) WHERE tbl = 'datastreams')
+SELECT field, term, doc_id, count(*) AS n FROM (
+  SELECT field, doc_id, unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS term FROM texts)
+WHERE term <> '' GROUP BY field, term, doc_id"""

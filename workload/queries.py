@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -490,6 +491,45 @@ def restart_idempotent(spark, sf):
     return flat_tables(store.tables())
 
 
+def streamed(spark, sf, **options) -> IndexStore:
+    """A store after a stream that landed in four parts, each indexed by a run of its own, and what was still waiting in the end.
+
+    Some bodies are damaged. The parts are days of the feed; messages are read from the files they landed in.
+    """
+    root, cfg, repository = scratch_dir(spark, "streamed"), ad.config(), ad.repository(spark, sf)
+    store = IndexStore(spark, f"{root}/store", buckets=8, **options)
+    raw = ad.with_bodies(ad.messages(spark, sf), damage=True)
+    first, last = raw.agg(F.min("arrival"), F.max("arrival")).first()
+    cuts = [first + (last - first) * k / STREAM_PARTS for k in range(STREAM_PARTS + 1)]
+    for k, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        since = F.col("arrival") > times.ntz(low) if k else F.lit(True)
+        raw.where(since & (F.col("arrival") <= times.ntz(high))).write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(f"{root}/in")
+        arriving = msg.read_messages(spark, f"{root}/in", streaming=True)
+        stream.run_stream(cfg, store, repository, f"{root}/checkpoint", messages=arriving).awaitTermination()
+    stream.index_batch(cfg, feed(spark, sf).limit(0), store, repository, batch_id=STREAM_PARTS, final=True)
+    return store
+
+
+STREAM_PARTS = 4
+
+
+@query("stream_batches", sql.STREAM_BATCHES)
+def stream_batches(spark, sf):
+    """Where every message of several micro-batches went: the index, error rows that are not too old, and the malformed ones."""
+    store = streamed(spark, sf, retention=dt.timedelta(days=sql.RETENTION_DAYS))
+    kept = store.read("malformed").select(
+        F.lit("malformed").alias("tbl"), F.col("msg_id").cast("string").alias("doc_id"), F.lit(None).cast("bigint").alias("version"),
+        F.col("reason").alias("detail"), F.col("arrival").alias("at_time"),
+    )
+    return flat_tables(store.tables()).unionByName(kept)
+
+
+@query("stream_postings", sql.STREAM_POSTINGS)
+def stream_postings(spark, sf):
+    """Search terms as several micro-batches leave them, documents updated and removed meanwhile."""
+    return streamed(spark, sf, analysed=True).read("postings")
+
+
 @query("custom_kind", sql.CUSTOM_KIND)
 def custom_kind(spark, sf):
     cfg = ad.config(rules=(*DEFAULT_RULES, JobRule("getObjectXML", "access", "UPDATE", False, 1)))
