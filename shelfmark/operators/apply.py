@@ -16,21 +16,20 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import CORRECTED, PipelineConfig
 from shelfmark.functions import ids
-from shelfmark.functions.times import ntz, time_slice
+from shelfmark.functions.times import ntz
 from shelfmark.operators import documents, index_tables
 from shelfmark.operators.debounce import mark_interrupted
 from shelfmark.operators.filters import JobPredicate, filter_jobs, predicates_from_config
 from shelfmark.operators.index_tables import Change, IndexTables
 from shelfmark.operators.jobs import fan_out_sequence
-from shelfmark.operators.skew import salted_lookup
+from shelfmark.operators.skew import LEAST_ROWS, Crowd, measure, salted_lookup
 from shelfmark.schemas import DATASTREAM_COLUMNS, OBJECT_COLUMNS
+from shelfmark.session import materialize
 from shelfmark.sources.repository import Repository
 
 # Builds documents of a user-defined kind: job rows -> the same rows with ``doc`` (struct) and ``error_message``.
 Handler = Callable[[DataFrame], DataFrame]
 
-COUNT_CHUNK_S = 3600
-
 
 @dataclass(frozen=True)
 class Outcome:
@@ -75,6 +74,7 @@ def replace_by_fan_out(
     delays_s: tuple[int, int],
     keep=lambda df, name: df,
     salts: int = 8,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """``jobs`` without the waiting datastream CREATEs that give way to the fan-out of their object.
 
@@ -91,34 +91,31 @@ def replace_by_fan_out(
     asked = candidates.select("doc_id").distinct()
     known = listed.join(asked, "doc_id", "left_semi").select("doc_id", F.lit(True).alias("_listed"))
     good = good_parents.select("pid", F.lit(True).alias("_good"))
-    checked = salted_lookup(marked, known, ["doc_id"], spread=["seq"], salts=salts)
-    checked = salted_lookup(checked, good, ["pid"], spread=["doc_id", "seq"], salts=salts)
+    checked = salted_lookup(marked, known, ["doc_id"], spread=["seq"], salts=salts, crowd=crowd)
+    checked = salted_lookup(checked, good, ["pid"], spread=["doc_id", "seq"], salts=salts, crowd=crowd)
     replaced = F.col("interrupted") & F.coalesce(F.col("_listed") & F.col("_good"), F.lit(False))
     return others.unionByName(keep(checked.where(~replaced).select(*jobs.columns), "datastream-creates"))
 
 
-def count_after(events: DataFrame, probes: DataFrame, on: str) -> DataFrame:
+def count_after(events: DataFrame, probes: DataFrame, on: str, keep=materialize) -> DataFrame:
     """Per probe (``on, doc_id, pos``) the number of events (``on, pos``) after it, as ``n_after``.
 
-    Counted within hours and summed over later hours, so the events of one key are spread over many windows; no
-    (event, probe) pairs are formed.
+    Prefix counts in two passes: rows are dealt by ranges of (``on``, ``pos``) and written by ``keep``, so that the ranges stay; each range counts by
+    itself, and the events of the key's other ranges, one number each, are added. However many events a key has and however close they lie, they
+    are spread over the ranges; no (event, probe) pairs are formed.
     """
-    hour = time_slice(F.col("pos.at"), COUNT_CHUNK_S).alias("_hour")
     nothing = F.lit(None).cast("string").alias("doc_id")
-    rows = events.select(on, "pos", hour, nothing, F.lit(1).alias("_event")).unionByName(
-        probes.select(on, "pos", hour, "doc_id", F.lit(0).alias("_event"))
-    )
-    later_in_hour = Window.partitionBy(on, "_hour").orderBy(F.col("pos").desc(), "_event").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    within = rows.withColumn("_within", F.sum("_event").over(later_in_hour)).where(F.col("_event") == 0)
-    later_hours = Window.partitionBy(on).orderBy(F.col("_hour").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    hours = rows.groupBy(on, "_hour").agg(F.sum("_event").alias("_n")).withColumn(
-        "_later", F.coalesce(F.sum("_n").over(later_hours), F.lit(0))
-    )
-    return salted_lookup(within, hours.select(on, "_hour", "_later"), [on, "_hour"], spread=["doc_id"]).select(
-        "doc_id", (F.col("_within") + F.col("_later")).alias("n_after")
+    rows = events.select(on, "pos", nothing, F.lit(1).alias("_event")).unionByName(probes.select(on, "pos", "doc_id", F.lit(0).alias("_event")))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keep(rows.repartitionByRange(parts, on, "pos").withColumn("_range", F.spark_partition_id()), "count-after")
+    # An event at the probe's place does not lie after it.
+    later = Window.partitionBy("_range", on).orderBy(F.col("pos").desc(), "_event").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = dealt.withColumn("_within", F.sum("_event").over(later)).where(F.col("_event") == 0)
+    later_ranges = Window.partitionBy(on).orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy(on, "_range").agg(F.sum("_event").alias("_n")).select(
+        on, "_range", F.coalesce(F.sum("_n").over(later_ranges), F.lit(0)).alias("_later")
     )
+    return within.join(ranges, [on, "_range"]).select("doc_id", (F.col("_within") + F.col("_later")).alias("n_after"))
 
 
 def _last_deletes(released: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -145,7 +142,9 @@ def _standing_failures(outcomes: DataFrame, released: DataFrame) -> DataFrame:
     )
 
 
-def _direct_writes(released: DataFrame, removed: DataFrame, own: DataFrame, mode: str, custom: bool, salts: int) -> DataFrame:
+def _direct_writes(
+    released: DataFrame, removed: DataFrame, own: DataFrame, mode: str, custom: bool, salts: int, crowd: Crowd | None = None
+) -> DataFrame:
     """Per document written by its own jobs: ``n`` writes since its last removal and the ``last`` write.
 
     Objects and datastreams are removed with their object, datastreams by their own DELETE only in ``corrected`` mode, and
@@ -154,10 +153,10 @@ def _direct_writes(released: DataFrame, removed: DataFrame, own: DataFrame, mode
     is_object = F.col("kind") == "object"
     is_custom = ~F.col("kind").isin("object", "datastream")
     writes = released.where(F.col("op") != "DELETE").select("kind", "doc_id", "pid", "dsid", "op", "ready_at", "seq")
-    placed = salted_lookup(writes, removed, ["pid"], spread=["doc_id", "seq"], salts=salts)
+    placed = salted_lookup(writes, removed, ["pid"], spread=["doc_id", "seq"], salts=salts, crowd=crowd)
     removal = F.col("removed")
     if mode == CORRECTED or custom:
-        placed = salted_lookup(placed, own, ["kind", "doc_id"], spread=["seq"], salts=salts)
+        placed = salted_lookup(placed, own, ["kind", "doc_id"], spread=["seq"], salts=salts, crowd=crowd)
         for_streams = F.greatest("removed", "own") if mode == CORRECTED else F.col("removed")
         removal = F.when(is_object, F.col("removed")).when(is_custom, F.col("own")).otherwise(for_streams)
     counts = (removal.isNull() | (position() > removal)).cast("bigint")
@@ -170,12 +169,13 @@ def _direct_writes(released: DataFrame, removed: DataFrame, own: DataFrame, mode
 
 
 def _fanned_out(
-    released: DataFrame, good_parents: DataFrame, listed: DataFrame, removed: DataFrame, own: DataFrame, mode: str, salts: int
+    released: DataFrame, good_parents: DataFrame, listed: DataFrame, removed: DataFrame, own: DataFrame, mode: str, salts: int,
+    crowd: Crowd | None = None, crowd_listed: Crowd | None = None,
 ) -> DataFrame:
     """The same per datastream written by the fan-out of its object: counted per object, listed once per datastream."""
     is_create = (F.col("kind") == "object") & (F.col("op") == "CREATE")
     creates = released.where(is_create).select("pid", "seq", fan_out_position().alias("pos"))
-    alive = salted_lookup(creates, removed, ["pid"], spread=["seq"], salts=salts).where(
+    alive = salted_lookup(creates, removed, ["pid"], spread=["seq"], salts=salts, crowd=crowd).where(
         F.col("removed").isNull() | (F.col("pos") > F.col("removed"))
     )
     parents = (
@@ -183,14 +183,15 @@ def _fanned_out(
         .agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("pos"), F.min("pos").alias("_first"))
         .join(good_parents.select("pid"), "pid", "left_semi")
     )
-    children = salted_lookup(listed, parents, ["pid"], spread=["dsid"], how="inner", salts=salts)
+    children = salted_lookup(listed, parents, ["pid"], spread=["dsid"], how="inner", salts=salts, crowd=crowd_listed)
     if mode == CORRECTED:
         # A datastream's own DELETE restarts its count; only where CREATEs lie on both sides of it they are counted again.
         deleted = children.join(own.where(F.col("kind") == "datastream").select("doc_id", "own"), "doc_id", "left")
         untouched = F.col("own").isNull() | (F.col("own") < F.col("_first"))
         split = ~untouched & (F.col("own") < F.col("pos"))
         probes = deleted.where(split).select("pid", "doc_id", F.col("own").alias("pos"))
-        recount = count_after(alive.select("pid", "pos"), probes, "pid")
+        asked = alive.select("pid", "pos").join(probes.select("pid").distinct(), "pid", "left_semi")
+        recount = count_after(asked, probes, "pid")
         n = F.when(untouched, F.col("n")).when(split, F.col("n_after")).otherwise(0)
         children = deleted.join(recount, "doc_id", "left").withColumn("n", n)
     return children.select(
@@ -200,12 +201,13 @@ def _fanned_out(
 
 
 def _written(
-    released: DataFrame, good_parents: DataFrame, listed: DataFrame, mode: str, custom: bool, salts: int
+    released: DataFrame, good_parents: DataFrame, listed: DataFrame, mode: str, custom: bool, salts: int, crowd: Crowd | None = None,
+    crowd_listed: Crowd | None = None,
 ) -> DataFrame:
     """Per written document: writes since it was last removed (``n``) and its ``last`` write."""
     removed, own = _last_deletes(released)
-    direct = _direct_writes(released, removed, own, mode, custom, salts)
-    fanned = _fanned_out(released, good_parents, listed, removed, own, mode, salts)
+    direct = _direct_writes(released, removed, own, mode, custom, salts, crowd)
+    fanned = _fanned_out(released, good_parents, listed, removed, own, mode, salts, crowd, crowd_listed)
     return direct.unionByName(fanned).groupBy("kind", "doc_id", "pid", "dsid").agg(
         F.sum("n").alias("n"), F.max("last").alias("last")
     )
@@ -222,11 +224,13 @@ def apply_jobs(
     now=None,
     keep=lambda df, name: df,
     salts: int = 8,
+    least_crowd: int = LEAST_ROWS,
 ) -> Outcome:
     """New index tables after the ``settled`` jobs that are due by ``clock`` (all of them without a clock).
 
     ``handlers`` build documents of further job kinds into tables of their own; ``transform`` supplies disseminations;
-    ``keep`` may store intermediate rows that several outputs read; ``now`` lets old errors expire.
+    ``keep`` may store intermediate rows that several outputs read; ``now`` lets old errors expire; ``least_crowd`` is the number of jobs
+    from which crowded keys are spread over ``salts``.
     """
     mode = cfg.mode
     listed = _listed(repository, predicates_from_config(cfg))
@@ -239,9 +243,11 @@ def apply_jobs(
     objects = keep(build_object_docs(wanted, repository, cfg, transform), "objects")
     good_parents, _ = documents.split_failures(objects)
 
-    unreplaced = replace_by_fan_out(settled, due, good_parents, listed, cfg.delays_s, keep, salts)
+    # Keys that hold much of the jobs, or of the listing, are known before anything is joined on them.
+    crowd, crowd_listed = measure(settled, ("pid",), ("doc_id",), least_rows=least_crowd), measure(repository.listing, ("pid",), least_rows=least_crowd)
+    unreplaced = replace_by_fan_out(settled, due, good_parents, listed, cfg.delays_s, keep, salts, crowd)
     remaining = unreplaced.where(is_due)
-    written = keep(_written(remaining, good_parents, listed, mode, bool(handlers), salts), "written")
+    written = keep(_written(remaining, good_parents, listed, mode, bool(handlers), salts, crowd, crowd_listed), "written")
 
     # Stored, so that the planner knows how few documents change when it joins them with the tables.
     object_docs = keep(
@@ -264,8 +270,9 @@ def apply_jobs(
     streams = of_streams.select(F.col("pid").alias("PID"), "doc_id").distinct()
 
     object_changes = _changes(object_docs, OBJECT_COLUMNS, "_dissemination")
-    typed = {name: kind for name, kind in cfg.properties.items() if name in after.objects.columns}
-    object_changes = documents.typed_properties(object_changes, typed)
+    if "properties" in after.objects.columns:
+        known = after.objects.schema["properties"].dataType.fieldNames()
+        object_changes = documents.nested_properties(object_changes, {n: cfg.properties.get(n, "string") for n in known})
     datastream_changes = _changes(datastream_docs, DATASTREAM_COLUMNS, "CONTENT")
     new_objects, _ = index_tables.upsert(after.objects, object_changes, writes="n")
     new_datastreams, _ = index_tables.upsert(after.datastreams, datastream_changes, writes="n")

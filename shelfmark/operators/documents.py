@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import ids
@@ -140,15 +140,26 @@ def property_type(declared: object) -> str:
     return PROPERTY_TYPES.get(name, name)
 
 
-def typed_properties(docs: DataFrame, properties: dict[str, object], content: str = "_dissemination._content") -> DataFrame:
-    """One typed column per configured property of the dissemination; null where it is absent or of another type."""
-    columns = {
+def property_columns(properties: dict[str, object], content: str = "_dissemination._content") -> dict[str, Column]:
+    """One typed value per configured property of the dissemination; null where it is absent or of another type."""
+    return {
         name: F.try_variant_get(F.col(content), f"$['{name}']", property_type(declared))
         for name, declared in properties.items()
     }
+
+
+def typed_properties(docs: DataFrame, properties: dict[str, object], content: str = "_dissemination._content") -> DataFrame:
+    """One typed column per configured property."""
+    columns = property_columns(properties, content)
     return docs.withColumns(columns) if columns else docs
 
 
+def nested_properties(docs: DataFrame, properties: dict[str, object], into: str = "properties", content: str = "_dissemination._content") -> DataFrame:
+    """The typed properties as fields of one struct: none can meet a column of the document, and each is a leaf of its own in the files."""
+    columns = [value.alias(name) for name, value in property_columns(properties, content).items()]
+    return docs.withColumn(into, F.struct(*columns)) if columns else docs
+
+
 def split_failures(built: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, failures)."""
     return built.where(F.col("error_message").isNull()), built.where(F.col("error_message").isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from shelfmark.functions.times import from_bound, from_text, iso_utc, ntz, plus_
 from shelfmark.operators.skew import salted_lookup
 
 STATE_COLUMNS = ("source", "ts", "expiration_date", "resumption_token")
+PUSHED_SOURCES = 1000
 
 
 def load_last_run(raw: DataFrame) -> DataFrame:
@@ -48,20 +51,31 @@ def changed_since(df: DataFrame, ts_col: str, plan, source_col: str = "source")
     """Rows modified at or after the bound.
 
     ``plan`` is one instant for all rows (a literal which reaches the file filters; ``None`` reads everything) or the result
-    of ``plan_harvest``, one row per source. A plan without a bound reads its source whole; a source without plan is not read.
+    of ``plan_harvest``, one row per source. A plan without a bound reads its source whole; a source without plan is not read. Sources with
+    a bound share a scan that the smallest bound reaches; sources read whole have one of their own.
     """
     if plan is None:
         return df
     if not isinstance(plan, DataFrame):
         return df.where(F.col(ts_col) >= ntz(plan))
     bounds = plan.select(F.col("source").alias("_source"), F.col("from_ts").alias("_from"))
-    if not plan.isStreaming and not df.isStreaming:
-        # Where every source has a bound, the smallest one is pushed down to the scan.
-        whole, first = bounds.agg(F.coalesce(F.max(F.col("_from").isNull()), F.lit(False)), F.min("_from")).first()
-        if not whole and first is not None:
-            df = df.where(F.col(ts_col) >= ntz(first))
-    joined = df.join(bounds, F.col(source_col) == F.col("_source"))
-    return joined.where(F.col("_from").isNull() | (F.col(ts_col) >= F.col("_from"))).select(*df.columns)
+    of_source = F.col(source_col) == F.col("_source")
+    if plan.isStreaming or df.isStreaming:
+        joined = df.join(bounds, of_source)
+        return joined.where(F.col("_from").isNull() | (F.col(ts_col) >= F.col("_from"))).select(*df.columns)
+    # Two scans, so that a source read in full does not take the bound from the others.
+    first, n_full, n_bounded = bounds.agg(F.min("_from"), F.count_if(F.col("_from").isNull()), F.count("_from")).first()
+    parts = []
+    if n_bounded:
+        recent = df.where(F.col(ts_col) >= ntz(first)).join(bounds.where(F.col("_from").isNotNull()), of_source)
+        parts.append(recent.where(F.col(ts_col) >= F.col("_from")).select(*df.columns))
+    if n_full:
+        full = bounds.where(F.col("_from").isNull()).select("_source")
+        whole = df
+        if n_full <= PUSHED_SOURCES:  # few enough for a filter that reaches the scan as well
+            whole = df.where(F.col(source_col).isin([r["_source"] for r in full.collect()]))
+        parts.append(whole.join(full, of_source).select(*df.columns))
+    return reduce(DataFrame.unionByName, parts) if parts else df.limit(0)
 
 
 def next_run_at(last_run: DataFrame, now, interval_s: float) -> DataFrame:

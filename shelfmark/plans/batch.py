@@ -59,7 +59,7 @@ def run_jobs(
     transform=None,
     now=None,
     store: bool = True,
-    salts: int = 8,
+    **spreading,
 ) -> Outcome:
     """Debounce ``feed`` and carry out the jobs due by ``clock``, or all of them without a clock.
 
@@ -67,7 +67,7 @@ def run_jobs(
     """
     keep = materialize if store else (lambda df, name: df)
     settled = keep(settle(feed, cfg.mode, *cfg.delays_s), "settled")
-    return apply_jobs(tables, settled, repository, cfg, clock, handlers, transform, now, keep, salts)
+    return apply_jobs(tables, settled, repository, cfg, clock, handlers, transform, now, keep, **spreading)
 
 
 def run_batch(

@@ -97,7 +97,7 @@ class Commit:
 
 class IndexStore:
     """``buckets`` is fixed per store; ``extra`` are schemas of tables of user-defined job kinds, ``properties`` the configured
-    dissemination properties, which become typed columns of the object table. With ``analysed`` the search terms of objects and datastreams are
+    dissemination properties, which become typed fields of the object table. With ``analysed`` the search terms of objects and datastreams are
     kept as well. Error rows are forgotten ``retention`` after their failure, by the commits' clock."""
 
     def __init__(
@@ -386,6 +386,8 @@ def day_of(moment) -> Column | str:
 
 
 def object_schema(properties: dict[str, object] | None = None) -> str:
-    """Schema of the object table with one typed column per configured dissemination property."""
-    added = "".join(f", `{name}` {property_type(declared)}" for name, declared in (properties or {}).items())
-    return schemas.OBJECTS + added
+    """Schema of the object table; configured dissemination properties are typed fields of one struct, ``properties``."""
+    if not properties:
+        return schemas.OBJECTS
+    fields = ", ".join(f"`{name}`: {property_type(declared)}" for name, declared in properties.items())
+    return f"{schemas.OBJECTS}, properties STRUCT<{fields}>"

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from model import at, make_job
 from shelfmark import schemas
 from shelfmark.functions import ids, text
+from shelfmark.functions.times import ntz
 from shelfmark.operators import debounce as db
 from shelfmark.operators import documents as docs
 from shelfmark.operators import filters, harvest, index_tables
 from shelfmark.operators.apply import count_after
-from shelfmark.operators.jobs import fan_out
+from shelfmark.operators.jobs import fan_out, fan_out_counted
 from shelfmark.operators.postings import build_postings
-from shelfmark.session import scratch_dir
+from shelfmark.operators.skew import measure, salted_lookup
+from shelfmark.session import materialize, scratch_dir
 
 NOW = dt.datetime(2014, 6, 9, 17, 30)
 
@@ -417,6 +419,59 @@ def test_smallest_bound_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts," in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sources_read_whole_do_not_widen_the_scan_of_the_others(spark):
+    path = scratch_dir(spark, "changed")
+    spark.createDataFrame([(s, at(t)) for s in ("a", "b", "full", "unplanned") for t in (0, 9)], "source string, ts timestamp_ntz").write.parquet(path)
+    plan = spark.createDataFrame([("a", at(5)), ("b", at(10)), ("full", None)], "source string, from_ts timestamp_ntz")
+    found = harvest.changed_since(spark.read.parquet(path), "ts", plan)
+    assert sorted((r["source"], r["ts"]) for r in found.collect()) == [("a", at(9)), ("full", at(0)), ("full", at(9))]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in text and "EqualTo(source,full)" in text
+    none = harvest.changed_since(spark.read.parquet(path), "ts", plan.limit(0))
+    assert none.count() == 0
+
+
+def test_counted_fan_out_stands_for_the_jobs(spark):
+    listing = spark.createDataFrame([("t:1", "A"), ("t:1", "B"), ("t:2", "C"), ("t:3", "D")], "pid string, dsid string")
+    rows = [("object", "CREATE", "t:1", "", at(t), 1, n) for n, t in enumerate([0, 5, 5, 3])] + [("object", "CREATE", "t:2", "", at(1), 0, 9), ("object", "UPDATE", "t:3", "", at(0), 1, 8)]
+    created = frame(spark, *rows)
+    jobs = fan_out(created, listing).groupBy("pid", "dsid", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("arrival", "seq")).alias("last"))
+    assert sorted(map(str, fan_out_counted(created, listing).collect())) == sorted(map(str, jobs.collect()))
+
+
+def test_only_crowded_keys_are_salted(spark):
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("pid"), "id")
+    one = many.select("pid").distinct().withColumn("n", F.length("pid"))
+    crowd = measure(many, ("pid",), least_rows=100)
+    assert len(crowd.keys[("pid",)]) == 1 and measure(many, ("pid",)).keys == {("pid",): ()}
+    joined = salted_lookup(many, one, ["pid"], ["id"], crowd=crowd)
+    assert joined.count() == 3000 and joined.where("n <> length(pid)").count() == 0
+    # Only the crowded key is repeated: one row more per further salt.
+    copies = one.count()
+    repeated = one.withColumn("_salt", F.explode(F.when(crowd.crowded(["pid"]), F.sequence(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(0)))))
+    assert repeated.count() == copies + 7
+    salts = many.where(crowd.crowded(["pid"])).groupBy(F.pmod(F.xxhash64("id"), F.lit(8)).alias("s")).count().collect()
+    assert len(salts) == 8 and max(r["count"] for r in salts) < 2 * 1000 / 8
+    plain = salted_lookup(many, one, ["pid"], ["id"], crowd=measure(many, ("pid",)))
+    assert "_salt" not in plain._jdf.queryExecution().toString() and plain.count() == 3000
+
+
+def test_counting_after_spreads_one_crowded_hour(spark):
+    """One object with all CREATEs in one hour: its ranges hold about equally many."""
+    events = spark.range(8000).select(F.lit("k").alias("pid"), F.struct(ntz(at(0)).alias("at"), F.col("id").alias("seq")).alias("pos"))
+    probes = spark.createDataFrame([("k", "d0", at(0), -1), ("k", "d1", at(0), 3999), ("k", "d2", at(0), 7999)], "pid string, doc_id string, at timestamp_ntz, seq bigint")
+    kept = []
+
+    def keep(df, name):
+        kept.append(materialize(df, name))
+        return kept[-1]
+
+    found = count_after(events, probes.select("pid", "doc_id", F.struct("at", "seq").alias("pos")), "pid", keep)
+    assert {r["doc_id"]: r["n_after"] for r in found.collect()} == {"d0": 8000, "d1": 4000, "d2": 0}
+    sizes = [r["count"] for r in kept[0].groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * 8000 / 4
+
+
 def test_document_without_pid_fails_with_a_message(spark):
     profiles = spark.createDataFrame([], schemas.OBJECT_PROFILES)
     good, bad = docs.split_failures(docs.build_objects(spark.createDataFrame([(None,), ("p:1",)], "pid string"), profiles))

@@ -70,9 +70,10 @@ def test_a_version_without_log_entry_stays_invisible(spark):
 
 
 def test_object_schema_takes_user_properties(spark):
-    schema = object_schema({"PUB_TYPE": {"type": "string"}, "YEAR": {"type": "integer"}})
+    schema = object_schema({"PUB_TYPE": {"type": "string"}, "YEAR": {"type": "integer"}, "LABEL": "string"})
     fields = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], schema).schema}
-    assert fields["PUB_TYPE"] == "string" and fields["YEAR"] == "int" and fields["_dissemination"].endswith("variant>")
+    assert fields["properties"] == "struct<PUB_TYPE:string,YEAR:int,LABEL:string>" and fields["_dissemination"].endswith("variant>")
+    assert fields["LABEL"] == "string" and object_schema() == object_schema({}) == schemas.OBJECTS
 
 
 def test_messages_and_pages_feed_one_index(spark):
@@ -87,14 +88,19 @@ def test_messages_and_pages_feed_one_index(spark):
         spark.createDataFrame([(p, "A", "label", "o", at(0), at(0)) for p in pids], schemas.OBJECT_PROFILES),
         spark.createDataFrame([("p:1", "DC", "l", "v", at(0), "A", "text/plain", None, "M", 3, "true", *[None] * 5)], schemas.DATASTREAM_PROFILES),
         spark.createDataFrame([("p:1", "DC", 200, bytearray(b"abc"))], schemas.CONTENTS),
-        spark.createDataFrame([(p, "s:1", "m", 200, '{"PUB_TYPE": "book"}') for p in pids], schemas.DISSEMINATIONS),
+        spark.createDataFrame([(p, "s:1", "m", 200, '{"PUB_TYPE": "book", "LABEL": "inner"}') for p in pids], schemas.DISSEMINATIONS),
     )
-    cfg = PipelineConfig(mode="corrected", sdef_pid="s:1", method="m", properties={"PUB_TYPE": {"type": "string"}})
+    cfg = PipelineConfig(mode="corrected", sdef_pid="s:1", method="m", properties={"PUB_TYPE": {"type": "string"}, "LABEL": "string"})
     store = IndexStore(spark, f"{root}/store", buckets=4, properties=cfg.properties)
     feeds = {"messages": read_messages(spark, f"{root}/messages", streaming=True), "pages": read_harvest_pages(spark, f"{root}/pages", streaming=True)}
     run_stream(cfg, store, repository, f"{root}/checkpoint", **feeds).awaitTermination()
     tables = store.tables()
-    assert {(r["doc_id"], r["PUB_TYPE"], r["_version"]) for r in tables.objects.collect()} == {("p:1", "book", 1), ("p:2", "book", 1)}
+    # A property named like a field of the document disturbs neither.
+    objects = {(r["doc_id"], r["properties"]["PUB_TYPE"], r["properties"]["LABEL"], r["LABEL"], r["_version"]) for r in tables.objects.collect()}
+    assert objects == {("p:1", "book", "inner", "label", 1), ("p:2", "book", "inner", "label", 1)}
+    one = store.tables(store.maintain(rebase_rows=1)).objects.select("properties.PUB_TYPE")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 2 and "ReadSchema: struct<properties:struct<PUB_TYPE:string>>" in plan
     assert {r["doc_id"]: r["CONTENT"]["_content"] for r in tables.datastreams.collect()} == {"p:1:DC": "abc"}
     assert [tuple(r) for r in store.read("last_run").collect()] == [("s", at(3), None, "t1")]
     # The broken ingest still makes an object job, which waits for its time.

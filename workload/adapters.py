@@ -178,6 +178,15 @@ def large_parents(orders: DataFrame) -> DataFrame:
     )
 
 
+def repeated_parents(lineitem: DataFrame) -> DataFrame:
+    """Released object CREATEs of orders, one per line item: as many as the order has datastreams."""
+    return lineitem.select(
+        F.lit("object").alias("kind"), F.lit("CREATE").alias("op"), F.concat(F.lit("order:"), F.col("l_orderkey")).alias("pid"),
+        F.lit("").alias("dsid"), F.col("l_shipdate").cast("timestamp_ntz").alias("arrival"), F.lit(0).alias("delay_s"),
+        sequence(MESSAGE_FEED, F.lit(""), F.col("l_orderkey"), F.col("l_linenumber")).alias("seq"),
+    )
+
+
 def large_listing(lineitem: DataFrame) -> DataFrame:
     """Datastreams of orders; line numbers repeat in the table and count once."""
     return lineitem.select("l_orderkey", "l_linenumber").distinct().select(

@@ -235,6 +235,11 @@ FAN_OUT_LARGE = """
 SELECT 'order:' || o_orderkey AS pid, 'L' || l_linenumber AS dsid, 'order:' || o_orderkey || ':L' || l_linenumber AS doc_id,
   o_orderdate AS arrival FROM orders JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) l ON l_orderkey = o_orderkey"""
 
+FAN_OUT_COUNTED = """
+SELECT 'order:' || p.l_orderkey || ':L' || c.l_linenumber AS doc_id, count(*) AS n, max(p.l_shipdate)::TIMESTAMP AS last_arrival,
+  arg_max(p.l_linenumber, row(p.l_shipdate, p.l_linenumber))::BIGINT AS last_position
+FROM lineitem p JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) c ON c.l_orderkey = p.l_orderkey GROUP BY p.l_orderkey, c.l_linenumber"""
+
 JOB_COLUMNS = "kind, op, pid, dsid, doc_id, arrival, delay_s, ready_at, seq"
 
 

@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 NOW = "2002-06-01"
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 DAYS = {"min_delay_s": ad.DAY_S, "max_delay_s": 5 * ad.DAY_S}
 UPDATES_ONLY = "methodName LIKE 'modify%' OR methodName LIKE 'add%' OR methodName LIKE 'purge%' OR methodName = 'ingest'"
 
@@ -85,6 +86,20 @@ def topic_and_selector(spark, sf):
     return msg.message_selector(on_topic, UPDATES_ONLY).select("msg_id", "pid", "method_name")
 
 
+@query(
+    "landed_messages",
+    f"WITH {sql.MESSAGES} SELECT msg_id, topic, pid, method_name, arrival FROM (SELECT *, "
+    "CASE WHEN method_name = 'getObjectXML' THEN 'fedora.apim.access' ELSE 'fedora.apim.update' END AS topic FROM messages) WHERE method_name <> 'purgeObject'",
+)
+def landed_messages(spark, sf):
+    """Messages written as they land and read through their reader; those without a text body are left out."""
+    path = scratch_dir(spark, "landed-messages")
+    raw = ad.with_bodies(ad.messages(spark, sf))
+    bare = raw.withColumn("body", F.when(F.col("method_name") != "purgeObject", F.col("body")))
+    bare.write.option("timestampNTZFormat", MICROSECONDS).json(path)
+    return msg.read_messages(spark, path).select("msg_id", "topic", "pid", "method_name", "arrival")
+
+
 @query(
     "atom_dsid",
     f"""WITH {sql.MESSAGES} SELECT msg_id, CASE WHEN method_name LIKE '%Datastream%' THEN raw_dsid ELSE '' END AS dsid
@@ -119,6 +134,14 @@ def oai_identifiers(spark, sf):
     return pages.explode_identifiers(harvest_pages(spark, sf)).select("source", "page_no", "identifier", "deleted")
 
 
+@query("landed_pages", sql.OAI_IDENTIFIERS)
+def landed_pages(spark, sf):
+    """The same pages written as they land and read through their reader."""
+    path = scratch_dir(spark, "landed-pages")
+    harvest_pages(spark, sf).write.option("timestampNTZFormat", MICROSECONDS).json(path)
+    return pages.explode_identifiers(pages.read_harvest_pages(spark, path)).select("source", "page_no", "identifier", "deleted")
+
+
 @query("oai_local_id", sql.OAI_LOCAL_ID)
 def oai_local_id(spark, sf):
     return pages.explode_identifiers(harvest_pages(spark, sf)).select("identifier", "pid")
@@ -213,6 +236,14 @@ def fan_out_large(spark, sf):
     return jobs.fan_out(parents, listing).select("pid", "dsid", "doc_id", "arrival")
 
 
+@query("fan_out_counted", sql.FAN_OUT_COUNTED)
+def fan_out_counted(spark, sf):
+    """Every order is created as often as it has line items; one row per datastream all the same."""
+    lineitem = ad.table(spark, sf, "lineitem")
+    counted = jobs.fan_out_counted(jobs.with_identity(ad.repeated_parents(lineitem)), ad.large_listing(lineitem))
+    return counted.select("doc_id", "n", F.col("last.arrival").alias("last_arrival"), F.col("last.seq.position").alias("last_position"))
+
+
 # Filters
 
 EVEN_PIDS = r"conv:\d*[02468]"
@@ -503,7 +534,7 @@ def streamed(spark, sf, **options) -> IndexStore:
     cuts = [first + (last - first) * k / STREAM_PARTS for k in range(STREAM_PARTS + 1)]
     for k, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
         since = F.col("arrival") > times.ntz(low) if k else F.lit(True)
-        raw.where(since & (F.col("arrival") <= times.ntz(high))).write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(f"{root}/in")
+        raw.where(since & (F.col("arrival") <= times.ntz(high))).write.mode("append").option("timestampNTZFormat", MICROSECONDS).json(f"{root}/in")
         arriving = msg.read_messages(spark, f"{root}/in", streaming=True)
         stream.run_stream(cfg, store, repository, f"{root}/checkpoint", messages=arriving).awaitTermination()
     stream.index_batch(cfg, feed(spark, sf).limit(0), store, repository, batch_id=STREAM_PARTS, final=True)
