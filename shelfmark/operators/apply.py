@@ -27,7 +27,7 @@ from shelfmark.schemas import DATASTREAM_COLUMNS, OBJECT_COLUMNS
 from shelfmark.session import materialize
 from shelfmark.sources.repository import Repository
 
-# Builds documents of a user-defined kind: job rows -> the same rows with ``doc`` (struct) and ``error_message``.
+# Builds documents of a user-defined kind: job rows -> the same rows with ``doc`` (struct), ``error_message``, and ``failed`` if it likes.
 Handler = Callable[[DataFrame], DataFrame]
 
 
@@ -300,11 +300,10 @@ def apply_jobs(
     for result, kind, pid in results:
         own = result.select("doc_id", F.col(pid).alias("PID"), "created", F.lit(kind).alias("kind"))
         succeeded = own if succeeded is None else succeeded.unionByName(own)
-    columns = ["doc_id", "pid", "last", "error_message"]
-    outcomes = object_docs.select(*columns)
-    for kind, docs in built.items():
-        if kind != "object":
-            outcomes = outcomes.unionByName(docs.select(*columns))
+    outcomes = None
+    for docs in built.values():
+        own = docs.select("doc_id", "pid", "last", "error_message", documents.is_failure(docs).alias("failed"))
+        outcomes = own if outcomes is None else outcomes.unionByName(own)
     failed = keep(_standing_failures(outcomes, remaining), "failed")
     errors = index_tables.clear_errors(after.errors, succeeded, mode)
     errors = index_tables.write_errors(errors, failed)

@@ -1,7 +1,7 @@
 """Documents from jobs: profile, content and dissemination look-ups with per-job failures.
 
-Every builder keeps all jobs and carries ``error_message``; ``split_failures`` parts them at the end. The run never stops for
-one document.
+Every builder keeps all jobs and carries ``error_message``, and ``failed`` where there may be no message; ``split_failures`` parts them at
+the end. The run never stops for one document.
 """
 
 from __future__ import annotations
@@ -160,6 +160,13 @@ def nested_properties(docs: DataFrame, properties: dict[str, object], into: str
     return docs.withColumn(into, F.struct(*columns)) if columns else docs
 
 
+def is_failure(built: DataFrame) -> Column:
+    """A message means failure. Builders that may fail without one say so in a boolean column ``failed``."""
+    told = F.col("error_message").isNotNull()
+    return told | F.coalesce(F.col("failed"), F.lit(False)) if "failed" in built.columns else told
+
+
 def split_failures(built: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, failures)."""
-    return built.where(F.col("error_message").isNull()), built.where(F.col("error_message").isNotNull())
+    failure = is_failure(built)
+    return built.where(~failure), built.where(failure)

@@ -107,6 +107,23 @@ def test_messages_and_pages_feed_one_index(spark):
     assert tables.errors.count() == 0 and [r["pid"] for r in store.read("pending").collect()] == ["p:3"]
 
 
+def test_a_failure_without_a_message_is_a_failure(spark):
+    """A user-defined kind that fails silently leaves an error row and no document."""
+    cfg = PipelineConfig(rules=(JobRule("look", "visit", "UPDATE", True, 0),))
+
+    def note(written):
+        fails = F.col("pid") == "p:2"
+        return written.withColumns({"doc": F.struct(F.lit("n").alias("note")), "error_message": F.lit(None).cast("string"), "failed": fails})
+
+    repository = Repository(*[spark.createDataFrame([], s) for s in TABLES.values()])
+    store = IndexStore(spark, scratch_dir(spark, "silent"), buckets=4, extra={"visit": "note STRING, doc_id STRING, _version BIGINT"})
+    rows = [(1, "p:1", "look", "A", at(0)), (2, "p:2", "look", "A", at(0))]
+    jobs = derive_jobs(spark.createDataFrame(rows, MESSAGE), cfg.rules)
+    index_batch(cfg, jobs, store, repository, 0, final=True, handlers={"visit": note})
+    assert [r["doc_id"] for r in store.read("visit").collect()] == ["p:1:A"]
+    assert [(r["doc_id"], r["message"]) for r in store.read("errors").collect()] == [("p:2:A", None)]
+
+
 def test_user_kind_tables_keep_their_rows(spark):
     """Tables of user-defined kinds: routed by PID when they have one, else rewritten whole."""
     root = scratch_dir(spark, "kinds")

@@ -134,18 +134,20 @@ def repository(spark: SparkSession, sf: str) -> Repository:
 
 
 def seed_tables(spark: SparkSession, sf: str) -> IndexTables:
-    """Index tables as an earlier run left them: every other object with its first turns, and some errors."""
-    conversations = table(spark, sf, "conversations").where(F.col("conv_id") % 2 == 0)
+    """Index tables as an earlier run left them, before the last turn of every conversation; and some errors."""
+    conversations = table(spark, sf, "conversations")
+    last = conversations.groupBy("conv_id").agg(F.max("turn").alias("_last"))
+    earlier = conversations.join(last, "conv_id").where(F.col("turn") < F.col("_last"))
     pid = F.concat(F.lit("conv:"), F.col("conv_id"))
     dsid = F.concat(F.lit("T"), F.col("turn"))
     none, no_time = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
-    objects = conversations.where(F.col("turn") == 0).select(
+    objects = earlier.select("conv_id").distinct().select(
         pid.alias("PID"), F.lit("A").alias("STATE"), F.lit("seed").alias("LABEL"), none.alias("OWNER_ID"),
         no_time.alias("CREATED_DATE"), no_time.alias("LAST_MODIFIED_DATE"),
         F.lit(None).cast("struct<_sdef_pid: string, _method: string, _content: variant>").alias("_dissemination"),
         pid.alias("doc_id"), F.lit(1).cast("bigint").alias("_version"),
     )
-    datastreams = conversations.where(F.col("turn") < 2).select(
+    datastreams = earlier.select(
         pid.alias("PID"), dsid.alias("DSID"), F.lit("seed").alias("LABEL"), none.alias("VERSION_ID"),
         no_time.alias("CREATED_DATE"), F.lit("A").alias("STATE"), F.lit("text/plain").alias("MIMETYPE"),
         none.alias("CONTROL_GROUP"), F.lit(0).cast("bigint").alias("SIZE"), F.lit(True).alias("VERSIONABLE"),
@@ -157,13 +159,13 @@ def seed_tables(spark: SparkSession, sf: str) -> IndexTables:
 
 
 def seed_errors(spark: SparkSession, sf: str) -> DataFrame:
-    """Errors of earlier runs: objects and their second turn for some users, one per user and document."""
-    users = table(spark, sf, "events").where(F.col("user_id") % 10 < 2).groupBy("user_id").agg(F.min("ts").alias("first"))
+    """Errors of earlier runs, one per user: of the object, or of its second turn."""
+    users = table(spark, sf, "events").groupBy("user_id").agg(F.min("ts").alias("first"))
+    of_turn = F.col("user_id") % 2 == 1
     pid = F.concat(F.lit("conv:"), F.col("user_id"))
-    dsid = F.when(F.col("user_id") % 10 == 1, "T1").otherwise("")
-    doc = F.when(F.col("user_id") % 10 == 1, F.concat(pid, F.lit(":T1"))).otherwise(pid)
+    doc = F.when(of_turn, F.concat(pid, F.lit(":T1"))).otherwise(pid)
     return users.select(
-        doc.alias("doc_id"), pid.alias("PID"), dsid.alias("DSID"), F.format_string("[UPDATE] [%s]", doc).alias("job"),
+        doc.alias("doc_id"), pid.alias("PID"), F.when(of_turn, "T1").otherwise("").alias("DSID"), F.format_string("[UPDATE] [%s]", doc).alias("job"),
         F.lit("seed").alias("message"),
         plus_seconds(F.col("first"), -(F.col("user_id") % 60) * DAY_S).alias("timestamp"),
     )

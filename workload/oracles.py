@@ -65,15 +65,15 @@ streams AS (
   FROM conversations)"""
 
 SEEDS = """
-seed_objects AS (SELECT DISTINCT 'conv:' || conv_id AS pid FROM conversations WHERE conv_id % 2 = 0 AND turn = 0),
-seed_streams AS (SELECT 'conv:' || conv_id AS pid, 'conv:' || conv_id || ':T' || turn AS doc_id
-  FROM conversations WHERE conv_id % 2 = 0 AND turn < 2),
+seed_turns AS (SELECT conv_id, turn FROM (SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations) WHERE turn < last),
+seed_objects AS (SELECT DISTINCT 'conv:' || conv_id AS pid FROM seed_turns),
+seed_streams AS (SELECT 'conv:' || conv_id AS pid, 'conv:' || conv_id || ':T' || turn AS doc_id FROM seed_turns),
 seed_errors AS (
-  SELECT 'conv:' || user_id || CASE WHEN user_id % 10 = 1 THEN ':T1' ELSE '' END AS doc_id, 'conv:' || user_id AS pid,
-    CASE WHEN user_id % 10 = 1 THEN 'T1' ELSE '' END AS dsid,
-    '[UPDATE] [conv:' || user_id || CASE WHEN user_id % 10 = 1 THEN ':T1' ELSE '' END || ']' AS job, 'seed' AS message,
+  SELECT 'conv:' || user_id || CASE WHEN user_id % 2 = 1 THEN ':T1' ELSE '' END AS doc_id, 'conv:' || user_id AS pid,
+    CASE WHEN user_id % 2 = 1 THEN 'T1' ELSE '' END AS dsid,
+    '[UPDATE] [conv:' || user_id || CASE WHEN user_id % 2 = 1 THEN ':T1' ELSE '' END || ']' AS job, 'seed' AS message,
     min(ts) - to_days(user_id % 60) AS at_time
-  FROM events WHERE user_id % 10 < 2 GROUP BY user_id)"""
+  FROM events GROUP BY user_id)"""
 
 NO_SEEDS = """
 seed_objects AS (SELECT NULL::VARCHAR AS pid WHERE false),
@@ -311,11 +311,11 @@ SELECT pid, CASE WHEN answered THEN json_extract(props, '$.k')::BIGINT END AS k,
 FROM judged WHERE error_message IS NULL"""
 
 UPSERT = f"""
-WITH {SEEDS},{OBJECTS}, changes AS (SELECT * FROM profiles WHERE substr(pid, 6)::BIGINT % 3 = 0)
-SELECT coalesce(c.pid, s.pid) AS doc_id, CASE WHEN c.pid IS NULL THEN 'seed' ELSE c.label END AS label,
-  CASE WHEN c.pid IS NOT NULL AND s.pid IS NOT NULL THEN 2 ELSE 1 END AS version,
-  CASE WHEN c.pid IS NOT NULL THEN s.pid IS NULL END AS created
-FROM seed_objects s FULL JOIN changes c ON c.pid = s.pid"""
+WITH {SEEDS},{DATASTREAMS}, changes AS (SELECT * FROM streams WHERE status = 200)
+SELECT coalesce(c.doc_id, s.doc_id) AS doc_id, CASE WHEN c.doc_id IS NULL THEN 'seed' ELSE c.label END AS label,
+  CASE WHEN c.doc_id IS NOT NULL AND s.doc_id IS NOT NULL THEN 2 ELSE 1 END AS version,
+  CASE WHEN c.doc_id IS NOT NULL THEN s.doc_id IS NULL END AS created
+FROM seed_streams s FULL JOIN changes c ON c.doc_id = s.doc_id"""
 
 DELETE_CASCADE = f"""
 WITH {JOBS},{SEEDS}, gone AS (SELECT DISTINCT pid FROM jobs WHERE kind = 'object' AND op = 'DELETE')
@@ -332,7 +332,7 @@ UNION ALL SELECT 'corrected', 'errors', doc_id FROM seed_errors WHERE doc_id NOT
 
 CLEAR_ERRORS = f"""
 WITH {SEEDS},{DATASTREAMS},
-done AS (SELECT pid AS doc_id, true AS clears FROM streams WHERE substr(pid, 6)::BIGINT % 4 = 0
+done AS (SELECT pid AS doc_id, true AS clears FROM streams
   UNION ALL SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM seed_streams) FROM streams)
 SELECT 'reference' AS mode, doc_id FROM seed_errors WHERE doc_id NOT IN (SELECT doc_id FROM done WHERE clears)
 UNION ALL SELECT 'corrected', doc_id FROM seed_errors WHERE doc_id NOT IN (SELECT doc_id FROM done)"""
@@ -358,12 +358,13 @@ USER_TRANSFORM = f"""
 WITH {OBJECTS}, counts AS (SELECT 'conv:' || user_id AS pid, count(*) AS n FROM events GROUP BY user_id)
 SELECT p.pid, n AS events FROM profiles p LEFT JOIN counts USING (pid)"""
 
-CUSTOM_KIND = f"""
-WITH {MESSAGES}, views AS (SELECT *, msg_id * 16 AS seq FROM messages WHERE method_name = 'getObjectXML'),
-released AS (SELECT pid FROM (
-  SELECT *, lead(arrival) OVER (PARTITION BY pid ORDER BY arrival, seq) AS nxt FROM views)
-  WHERE nxt IS NULL OR nxt >= arrival + to_days(1))
-SELECT pid AS doc_id, count(*) AS version, 'seen ' || pid AS note FROM released GROUP BY pid"""
+# One kind more, beside the others; kinds share error rows, so a later visit of an object clears its error.
+ACCESS_JOBS = JOBS.replace("('ingest', 0,", "('getObjectXML', 0, 'access', 'UPDATE', false, 1),\n  ('ingest', 0,")
+CUSTOM_KIND = apply_sql("corrected", NO_SEEDS).replace(JOBS, ACCESS_JOBS).replace(
+    "judged AS (", """visits AS (SELECT doc_id, pid, count(*) AS n, max(row(ready_at, seq)) AS pos FROM round1 WHERE kind = 'access' GROUP BY doc_id, pid),
+judged AS (""").replace("WHERE o.op <> 'DELETE')", "WHERE o.op <> 'DELETE' AND o.kind <> 'access')").replace(
+    "(sd_pos IS NULL OR last_pos > sd_pos))", "(sd_pos IS NULL OR last_pos > sd_pos)\n    AND NOT EXISTS (SELECT 1 FROM visits v WHERE v.doc_id = judged.doc_id AND v.pos > last_pos))") + """
+UNION ALL SELECT 'access', doc_id, n, 'seen ' || pid, NULL FROM visits"""
 
 
 # Messages whose bodies are whole; the others are kept aside.

@@ -417,12 +417,9 @@ def user_transform(spark, sf):
 
 @query("upsert_docs", sql.UPSERT)
 def upsert_docs(spark, sf):
-    current = ad.seed_tables(spark, sf).objects
-    profiles = ad.repository(spark, sf).object_profiles.where(F.substring("pid", 6, 20).cast("bigint") % 3 == 0)
-    none = F.lit(None).cast("struct<_sdef_pid: string, _method: string, _content: variant>")
-    changes = docs.build_objects(profiles.select("pid"), profiles).select(
-        "doc.*", none.alias("_dissemination"), F.col("pid").alias("doc_id")
-    )
+    current, repository = ad.seed_tables(spark, sf).datastreams, ad.repository(spark, sf)
+    built = build_datastream_docs(repository.listing.withColumn("doc_id", F.concat_ws(":", "pid", "dsid")), repository)
+    changes = docs.split_failures(built)[0].select("doc.*", "doc_id")
     table, result = index_tables.upsert(current, changes)
     return table.join(result.select("doc_id", "created"), "doc_id", "left").select(
         "doc_id", F.col("LABEL").alias("label"), F.col("_version").alias("version"), "created"
@@ -451,7 +448,7 @@ def delete_datastreams(spark, sf):
 @query("clear_errors", sql.CLEAR_ERRORS)
 def clear_errors(spark, sf):
     tables, repository = ad.seed_tables(spark, sf), ad.repository(spark, sf)
-    objects = repository.object_profiles.where(F.substring("pid", 6, 20).cast("bigint") % 4 == 0).select(
+    objects = repository.object_profiles.select(
         F.lit("object").alias("kind"), F.col("pid").alias("doc_id"), F.lit(False).alias("created")
     )
     streams = repository.listing.select(F.concat_ws(":", "pid", "dsid").alias("doc_id")).join(
@@ -563,8 +560,9 @@ def stream_postings(spark, sf):
 
 @query("custom_kind", sql.CUSTOM_KIND)
 def custom_kind(spark, sf):
-    cfg = ad.config(rules=(*DEFAULT_RULES, JobRule("getObjectXML", "access", "UPDATE", False, 1)))
-    feed_jobs = jobs.derive_jobs(ad.messages(spark, sf), cfg.rules, ad.DAY_S).where(F.col("kind") == "access")
+    """A user-defined kind beside the built-in ones, all of the feed in one run."""
+    cfg = ad.config("corrected", rules=(JobRule("getObjectXML", "access", "UPDATE", False, 1), *DEFAULT_RULES))
+    every = materialize(jobs.derive_jobs(ad.messages(spark, sf), cfg.rules, ad.DAY_S), "feed")
 
     def note(written: DataFrame) -> DataFrame:
         return written.withColumns(
@@ -577,8 +575,11 @@ def custom_kind(spark, sf):
     empty = empty_tables(spark)
     access = empty_frame(spark, "note STRING, doc_id STRING, _version BIGINT")
     tables = IndexTables(empty.objects, empty.datastreams, empty.errors, {"access": access})
-    outcome = run_jobs(cfg, feed_jobs, tables, ad.repository(spark, sf), handlers={"access": note})
-    return outcome.tables.extra["access"].select("doc_id", F.col("_version").alias("version"), "note")
+    after = run_jobs(cfg, every, tables, ad.repository(spark, sf), handlers={"access": note}).tables
+    visits = after.extra["access"].select(
+        F.lit("access").alias("tbl"), "doc_id", F.col("_version").alias("version"), F.col("note").alias("detail"), F.lit(None).cast("timestamp_ntz").alias("at_time")
+    )
+    return flat_tables(after).unionByName(visits)
 
 
 def stored_conversations(spark, sf) -> IndexStore:
