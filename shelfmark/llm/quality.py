@@ -3,11 +3,14 @@
 A logistic model on at most ``SAMPLE`` labelled rows (a fixed bound; features are words, heads of words and the shape of the text) gives each document
 evidence for "good": its log odds without the prior. Over all documents, hosts and paths get posteriors: a host's mean probability is shrunk towards
 the global one, a path's towards its host's, each by a weight estimated from the spread between hosts or paths (method of moments), so sparse
-sites stay near their prior. A document's log odds are its evidence plus its path's prior; below even odds it is rejected.
+sites stay near their prior. A document's log odds are its evidence plus its path's prior, from the sums without the document itself; below even odds it is rejected.
 
 Site sums are grouped aggregations with map-side sums, so a host with a third of the rows is no burden. The site table is written out, so the
 planner knows its size when it joins it to the documents: a small one is broadcast, a large one is joined by shuffle with skew splitting.
 
+``FEATURES`` and ``LEAST_DEVIATIONS`` are parameters of the model, as its sample is: the words that part the labelled rows are few, and more of them
+than the sample can tell apart from chance would not be learned.
+
 Defined results: null and empty texts have the shape of an empty text. Null hosts and paths are a site of their own. Repeated rows count and are
 judged each. Repeated labels of an id count as good only if all are; labels without an id or with nulls are left out. Without usable labels of both kinds
 all evidence is zero and every document is kept. Other columns are carried or ignored as asked.
@@ -18,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +85,10 @@ def sample_of(docs: DataFrame, labels: DataFrame, good: Column, id_col: str, tex
     own = labels.select(F.col(id_col).alias("id"), good.cast("int").alias("good")).where("id is not null and good is not null")
     one = own.groupBy("id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(one), "id").select("text", "good")  # at most ``sample`` rows of two numbers
+    found = texts.join(F.broadcast(one), "id")  # at most ``sample`` rows of two numbers
+    # Rows that repeat an id give one: that with the smallest hash of its text. So the bound holds for rows as well.
+    first = F.min(F.struct(F.xxhash64("text").alias("place"), "text"))
+    return found.groupBy("id", "good").agg(first.alias("first")).select("first.text", "good")
 
 
 def choose_words(rows: DataFrame, features: int, good: int, bad: int) -> list[bytes]:
@@ -161,18 +168,44 @@ def shrink_weight(mean_col: str, size_col: str, centre: Column) -> Column:
     return F.greatest(F.avg(centre * (1 - centre)) / spread - 1, F.lit(1.0))
 
 
-def site_priors(paths: DataFrame) -> DataFrame:
-    """``host, path, prior`` from the sums ``host, path, n, s`` over all documents: their number and the sum of their probabilities."""
+@dataclass(frozen=True)
+class Shrinkage:
+    """The global mean, and how many documents it is worth to a host, and a host's mean to a path."""
+
+    world: float
+    host: float
+    path: float
+
+
+def shrinkage(paths: DataFrame) -> Shrinkage | None:
+    """From the sums ``host, path, n, s`` over all documents: their number and the sum of their probabilities."""
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     world = hosts.agg((F.sum("hs") / F.sum("hn")).alias("m")).first().m
     if world is None:
-        return paths.select("host", "path", F.lit(0.5).alias("prior"))
+        return None
     world = min(max(world, 1e-6), 1 - 1e-6)
     w = hosts.withColumn("hm", F.col("hs") / F.col("hn")).agg(shrink_weight("hm", "hn", F.lit(world)).alias("w")).first().w
-    hosts = hosts.select("host", ((F.col("hs") + w * world) / (F.col("hn") + w)).alias("hm"))
-    both = paths.join(hosts, "host").withColumn("pm", F.col("s") / F.col("n"))
-    v = both.agg(shrink_weight("pm", "n", F.col("hm")).alias("w")).first().w
-    return both.select("host", "path", ((F.col("s") + v * F.col("hm")) / (F.col("n") + v)).alias("prior"))
+    means = hosts.select("host", ((F.col("hs") + w * world) / (F.col("hn") + w)).alias("hm"))
+    both = paths.join(means, "host").withColumn("pm", F.col("s") / F.col("n"))
+    return Shrinkage(world, w, both.agg(shrink_weight("pm", "n", F.col("hm")).alias("w")).first().w)
+
+
+def with_hosts(paths: DataFrame) -> DataFrame:
+    """The sums per path, and those of its host (``hn``, ``hs``)."""
+    return paths.join(paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs")), "host")
+
+
+def shrunk(by: Shrinkage, without: Column | None = None) -> Column:
+    """A path's posterior mean from ``n, s, hn, hs``; ``without`` is the probability of one document that is left out of all four."""
+    one, p = (F.lit(0), F.lit(0.0)) if without is None else (F.lit(1), without)
+    host = (F.col("hs") - p + by.host * by.world) / (F.col("hn") - one + by.host)
+    return (F.col("s") - p + by.path * host) / (F.col("n") - one + by.path)
+
+
+def site_priors(paths: DataFrame) -> DataFrame:
+    """``host, path, prior`` from the sums ``host, path, n, s``: what a further document of the site starts from."""
+    by = shrinkage(paths)
+    return with_hosts(paths).select("host", "path", (F.lit(0.5) if by is None else shrunk(by)).alias("prior"))
 
 
 def judge(
@@ -190,22 +223,21 @@ def judge(
             made = [classifier.evidence(t) if classifier is not None else 0.0 for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.float64())], ["row", "evidence"])
 
-    def with_site(columns: list[str]) -> DataFrame:
-        site = lambda c: F.coalesce(F.col("row").getField(c).cast("string"), F.lit("\u0000null"))
-        made = as_rows(docs, columns).mapInArrow(work, f"row {row_type(docs, columns)}, evidence double")
-        return made.withColumn("host", site(host_col)).withColumn("path", site(path_col))
-
+    # Evidence is written with its row: texts are classified once, and later passes read what they need.
+    scores_path, sums_path = in_scratch(spark, "quality-scores"), in_scratch(spark, "quality-sums")
+    site = lambda c: F.coalesce(F.col("row").getField(c).cast("string"), F.lit("\u0000null"))
     centre = 0.0 if model.value is None else math.log(model.value.prior / (1 - model.value.prior))
-    path = in_scratch(spark, "quality-scores")
-    needed = list(dict.fromkeys([text_col, host_col, path_col]))
-    with_site(needed).select("host", "path", (1 / (1 + F.exp(-(F.col("evidence") + centre)))).alias("p")).groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")
-    ).write.parquet(path)
-    sums = spark.read.parquet(path)
-    priors_path = in_scratch(spark, "quality-priors")
-    site_priors(sums).write.parquet(priors_path)
-    judged = with_site(carry).join(spark.read.parquet(priors_path), ["host", "path"], "left")
-    prior = F.least(F.greatest(F.coalesce("prior", F.lit(0.5)), F.lit(1e-6)), F.lit(1 - 1e-6))
+    made = as_rows(docs, carry).mapInArrow(work, f"row {row_type(docs, carry)}, evidence double")
+    scored = made.select("row", "evidence", site(host_col).alias("host"), site(path_col).alias("path"), (1 / (1 + F.exp(-(F.col("evidence") + centre)))).alias("p"))
+    scored.write.parquet(scores_path)
+    scored = spark.read.schema(scored.schema).parquet(scores_path)
+    scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")).write.parquet(sums_path)
+    sums = spark.read.schema("host string, path string, n bigint, s double").parquet(sums_path)
+    by = shrinkage(sums)
+    judged = scored.join(with_hosts(sums), ["host", "path"])
+    # A document's own probability is in its evidence already, so its site's sums go without it.
+    prior = F.lit(0.5) if by is None else shrunk(by, F.col("p"))
+    prior = F.least(F.greatest(prior, F.lit(1e-6)), F.lit(1 - 1e-6))
     odds = F.col("evidence") + F.log(prior / (1 - prior))
     if model.value is None:
         odds = F.lit(0.0)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -105,6 +106,50 @@ def test_quality_on_held_out_rows(spark):
     assert all(got[i].kept for i, good in test if good) or sum(not got[i].kept for i, good in test if good) <= 3
 
 
+def test_quality_equals_brute_force(spark):
+    """Priors and scores from the evidence, with sparse and crowded sites, null sites, repeated rows and ids, a long text and clashing columns."""
+    docs, labels = labelled(3, 300)
+    docs = [(i, t, "hot" if i % 3 == 0 else h, p) for i, t, h, p in docs] + [(900, None, None, None), (901, "", "alone", "x"), (902, "word " * 30_000, "alone", "y"), docs[0], docs[0], (0, "other text", "a", "x")]
+    df = frame(spark, docs, "doc_id bigint, text string, source string, lang string").withColumn("host", F.lit("h")).withColumn("p", F.lit(1)).withColumn("hn", F.lit(2))
+    out = quality.judge(df, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), carry=["doc_id", "text", "source", "lang", "p"])
+    got = out.select("row.doc_id", "row.source", "row.lang", "evidence", "prior", "score", "kept").collect()
+    assert len(got) == len(docs)
+    own = {r for r, *_ in docs if r < 300}
+    good = {i for i, q, t in labels if q == 1 and t == 0}
+    centre = math.log(len(good) / len(own) / (1 - len(good) / len(own)))
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    p = [sigmoid(r.evidence + centre) for r in got]
+    path_of, host_of = [(r.source, r.lang) for r in got], [r.source for r in got]
+    sums = lambda keys: {k: (sum(1 for x in keys if x == k), sum(v for x, v in zip(keys, p, strict=True) if x == k)) for k in set(keys)}
+    paths, hosts = sums(path_of), sums(host_of)
+    world = sum(p) / len(p)
+
+    def weight(rows):  # mean, number, centre
+        noise = np.mean([c * (1 - c) / n for _, n, c in rows])
+        spread = max(np.mean([(m - c) ** 2 for m, _, c in rows]) - noise, 1e-6)
+        return max(np.mean([c * (1 - c) for _, _, c in rows]) / spread - 1, 1.0)
+
+    w = weight([(s / n, n, world) for n, s in hosts.values()])
+    means = {h: (s + w * world) / (n + w) for h, (n, s) in hosts.items()}
+    v = weight([(s / n, n, means[k[0]]) for k, (n, s) in paths.items()])
+    for r, own_p, k, h in zip(got, p, path_of, host_of, strict=True):
+        host = (hosts[h][1] - own_p + w * world) / (hosts[h][0] - 1 + w)
+        prior = (paths[k][1] - own_p + v * host) / (paths[k][0] - 1 + v)
+        assert r.prior == pytest.approx(min(max(prior, 1e-6), 1 - 1e-6), rel=1e-6)
+        odds = r.evidence + math.log(r.prior / (1 - r.prior))
+        assert r.score == pytest.approx(sigmoid(odds), rel=1e-6) and r.kept == (odds >= 0)
+
+
+def test_quality_sample_is_bounded_by_rows(spark):
+    """Ids that repeat give one row each."""
+    docs = spark.createDataFrame([(i % 4, f"text {i}") for i in range(400)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    assert quality.sample_of(docs, labels, good, "doc_id", "text", 2).count() == 2
+    rows = quality.sample_of(docs, labels, good, "doc_id", "text", 100).collect()
+    assert sorted(r.good for r in rows) == [0, 1, 1]
+
+
 def test_quality_without_labels(spark):
     docs, _ = labelled(2, 10)
     df = frame(spark, docs, "doc_id bigint, text string, source string, lang string")
