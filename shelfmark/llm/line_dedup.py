@@ -3,7 +3,9 @@
 A line's key is the line without ASCII white space at its ends and with A-Z in lower case. Tasks note the keys of their documents in a
 once-seen and a twice-seen filter; merged, the second one passes every key that two documents hold (and few others). Suspected keys, as
 SHA-256 digests, are counted per document with map-side sums; a key in at least ``min_docs`` documents keeps its lines only in the
-largest document id. The digests a document loses return to it in one array.
+largest document id. The digests that a row loses return to it in one array, no longer than its own lines: rows are told apart by id and a hash of the
+text, so an id with many rows, the null id too, gathers nothing. Both joins have a written, narrow side of one row a key, which leaves a crowded
+key to be split.
 
 The filters have a fixed largest size: with more lines than they hold well, more suspects shuffle and the result is the same.
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import TwoFilters, merge_sections, section_rows, words_for
-from .common import drop_scratch, in_scratch, parts
+from .common import in_scratch, parts, text_of
 from .rows import as_rows, binary_texts, field, row_type, slices
 
 BLANK = b" \t\n\v\f\r"
@@ -48,14 +50,15 @@ def line_count(docs: DataFrame, text_col: str) -> int:
 
 
 def suspects(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """``id, digest`` of each document's keys that the twice-seen filter passes."""
+    """``id, h, digest`` of each document's keys that the twice-seen filter passes; ``h`` is the hash of the text they come from."""
     spark = docs.sparkSession
     size = words_for(line_count(docs, text_col))
-    texts = as_rows(docs, [id_col, text_col])
+    own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("h"))
+    texts = as_rows(own, ["id", "text", "h"])
 
     def note(batches):
         filters, held = TwoFilters(size), []
-        for _, own in slices(batches, text_col):
+        for _, own in slices(batches, "text"):
             for text in own.to_pylist():
                 held += {xxhash.xxh3_64_intdigest(k) for k in keys_of(text, min_chars) if k is not None}
             if len(held) > FLUSH:
@@ -71,7 +74,7 @@ def suspects(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Dat
     def suspect(batches):
         seen = TwoFilters(1)
         seen.twice = shared.value
-        for batch, own in slices(batches, text_col):
+        for batch, own in slices(batches, "text"):
             at, digests = [], []
             for i, text in enumerate(own.to_pylist()):
                 keys = list({k for k in keys_of(text, min_chars) if k is not None})
@@ -79,10 +82,11 @@ def suspects(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Dat
                 own_digests = [hashlib.sha256(keys[j]).digest() for j in np.flatnonzero(passed)]
                 at += [i] * len(own_digests)
                 digests += own_digests
-            yield pa.RecordBatch.from_arrays([field(batch, id_col).take(pa.array(at, pa.int64())), pa.array(digests, pa.binary())], ["id", "digest"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([field(batch, "id").take(rows), field(batch, "h").take(rows), pa.array(digests, pa.binary())], ["id", "h", "digest"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return texts.mapInArrow(suspect, f"id {kind}, digest binary")
+    return texts.mapInArrow(suspect, f"id {kind}, h bigint, digest binary")
 
 
 def dedup_lines(
@@ -90,17 +94,24 @@ def dedup_lines(
 ) -> DataFrame:
     """``row`` (the carried columns, which include id and text), ``n_lines, n_dropped`` long, ``kept`` string."""
     spark = docs.sparkSession
-    path = in_scratch(spark, "line-suspects")
-    suspects(docs, id_col, text_col, min_chars).distinct().write.parquet(path)
-    pairs = spark.read.parquet(path)
-    # Of a struct, null sorts first: a null id is the smallest document.
-    repeated = pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
-    lost = (
-        pairs.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("keeper")))
-        .groupBy("id").agg(F.collect_list("digest").alias("lost"))
-    )
-    rows = as_rows(docs, carry).withColumn("id", F.col("row").getField(id_col))
-    joined = rows.join(lost.withColumnRenamed("id", "lost_id"), F.col("id").eqNullSafe(F.col("lost_id")), "left").select("row", "lost")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = in_scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    pairs = written(suspects(docs, id_col, text_col, min_chars).distinct(), "line-suspects")
+    # Of a struct, null sorts first and counts: a null id is the smallest document.
+    holder = F.struct("id")
+    repeated = pairs.groupBy("digest").agg(F.count_distinct(holder).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    repeated = written(repeated.select("digest", "keeper"), "line-repeats")
+    lost = written(
+        pairs.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "h").agg(F.collect_list("digest").alias("lost")),
+        "line-losses",
+    ).select(F.col("id").alias("lost_id"), F.col("h").alias("lost_h"), "lost")
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    rows = as_rows(docs, carry).withColumn("id", F.col("row").getField(id_col)).withColumn("h", F.xxhash64(text))
+    joined = rows.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("h") == F.col("lost_h")), "left").select("row", "lost")
 
     def clean(batches):
         for batch, texts in slices(batches, text_col):

@@ -271,3 +271,18 @@ def test_pieces_that_share_a_hash():
         for _ in range(2):
             assert [e.tolist() for e in encode([t.encode() for t in rows])] == want
             assert [encode([t.encode()])[0].tolist() for t in rows] == want
+
+
+def test_line_dedup_with_a_crowded_line_and_a_crowded_id(spark):
+    """A third of the rows share a line, a third have no id; an id's rows lose only lines of their own."""
+    line = "a line that a third of all documents have in common, word for word"
+    own = [f"line number {i} which is long enough to be looked at and told apart" for i in range(300)]
+    rows = [(i, f"{line}\n{own[i]}") for i in range(100)] + [(None, f"{own[i % 7]}\n{own[i]}") for i in range(100, 200)] + [(i, own[i]) for i in range(200, 300)]
+    rows += [(300 + i, own[0]) for i in range(6)]
+    df = frame(spark, rows).repartition(5)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.kept, r.n_dropped) for r in line_dedup.dedup_lines(df, carry=["doc_id", "text"]).select("row.doc_id", "kept", "n_dropped").collect())
+    # Only the first of the seven lines is in five documents or more: those without an id are one.
+    want = [(True, i, f"{line}\n{own[i]}" if i == 99 else own[i] if i else "", int(i < 99) + (i == 0)) for i in range(100)]
+    want += [(False, 0, own[i] if i % 7 == 0 else f"{own[i % 7]}\n{own[i]}", int(i % 7 == 0)) for i in range(100, 200)]
+    want += [(True, i, own[i], 0) for i in range(200, 300)] + [(True, 300 + i, own[0] if i == 5 else "", int(i < 5)) for i in range(6)]
+    assert got == sorted(want)
