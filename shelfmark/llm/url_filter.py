@@ -1,9 +1,10 @@
 """URL filter: a blocked Bloom filter of listed keys passes possible hits to an exact hash join.
 
-Listed are canonical URLs (any number) and rules of a host and a path prefix. Every URL has few keys: its canonical form, and each
-suffix of its host with each prefix of its path that is as long as some rule's path. The filter has one 64-bit block a key and a
+Listed are canonical URLs (any number) and rules of a host and a path prefix (at most ``max_rules``). Every URL has few keys: its canonical form, and
+each suffix of its host with each prefix of its path that is as long as some rule's path. The filter has one 64-bit block a key and a
 fixed largest size, so it may be broadcast whatever the length of the list; a longer list only passes more false hits, which the
-join removes.
+join removes. Rules go out with the filter and are settled where a page is read, however many pages a rule fits; only pages without a rule whose
+canonical URL may be listed go to the join, against a written table of one row a URL, which leaves a crowded URL to be split.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and gets the default verdict. Repeated pages are judged
 each. An empty list or an empty page table is fine. Other columns of the pages are ignored.
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import in_scratch, lower_ascii
 
 BITS_PER_KEY = 16
 MAX_BLOCKS = 1 << 18  # of 64 bits: 2 MB
@@ -60,11 +61,15 @@ def build_filter(keys: DataFrame, key: str) -> np.ndarray:
     return words.view(np.uint64)
 
 
-def possible(rows: DataFrame, filter_words) -> DataFrame:
-    """``rows`` with the keys that may be in the filter as ``hits``, in place of ``keys`` and their hashes ``h``."""
+def possible(rows: DataFrame, shared) -> DataFrame:
+    """``id, host, path`` of the rows with the ``rule`` and ``verdict`` that fit, or else the ``url`` if it may be listed.
+
+    ``shared`` holds the filter's words and the rules by key. Of a row's ``keys`` (hashes ``h``) the last is its URL's.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
 
     def probe(batches):
-        words = filter_words.value
+        words, rules = shared.value
         for batch in batches:
             keys, hashes = batch["keys"], batch["h"]
             h = hashes.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -73,12 +78,23 @@ def possible(rows: DataFrame, filter_words) -> DataFrame:
             for k in range(4):
                 ok &= (word >> ((h >> np.uint64(6 * k)) & np.uint64(63))) & np.uint64(1) == 1
             ends = np.cumsum(hashes.value_lengths().to_numpy(zero_copy_only=False))
-            passed = np.concatenate([[0], np.cumsum(ok)])[np.concatenate([[0], ends]).astype(int)].astype(np.int32)
-            hits = pa.ListArray.from_arrays(pa.array(passed), keys.flatten().filter(pa.array(ok)))
-            yield pa.RecordBatch.from_arrays([batch["at"], batch["id"], batch["host"], batch["path"], hits], ["at", "id", "host", "path", "hits"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(probe, f"at bigint, id {kind}, host string, path string, hits array<string>")
+            hit = np.flatnonzero(ok)
+            owner = np.searchsorted(ends, hit, "right")
+            best: list[tuple | None] = [None] * batch.num_rows
+            url: list[str | None] = [None] * batch.num_rows
+            for i, last, key in zip(owner.tolist(), (hit == ends[owner] - 1).tolist(), keys.flatten().take(pa.array(hit)).to_pylist(), strict=True):
+                if last:
+                    url[i] = key
+                elif (rule := rules.get(key)) is not None and (best[i] is None or rule > best[i]):
+                    best[i] = rule
+            rule = [b and b[1] for b in best]
+            verdict = [b and b[2] for b in best]
+            left = [None if b else u for b, u in zip(best, url, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], batch["host"], batch["path"], *(pa.array(c, pa.string()) for c in (rule, verdict, left))], ["id", "host", "path", "rule", "verdict", "key"]
+            )
+
+    return rows.mapInArrow(probe, f"id {kind}, host string, path string, rule string, verdict string, key string")
 
 
 def filter_urls(
@@ -93,11 +109,15 @@ def filter_urls(
     if len(rules) > max_rules:
         raise ValueError(f"{len(rules)} rules; at most {max_rules}: put whole URLs in the list instead")
     spark = pages.sparkSession
-    rows = [(f"rule {host}{path}", f"{host}{path}", verdict) for verdict, host, path in rules]
-    rule_table = spark.createDataFrame(rows or [("", "", "")], "key string, rule string, verdict string").where(F.lit(bool(rows)))
-    urls = listed.select(F.concat(F.lit("url "), F.col(listed_col)).alias("key")).where("key is not null").distinct()
-    entries = rule_table.unionByName(urls.select("key", F.lit(None).cast("string").alias("rule"), F.lit(listed_verdict).alias("verdict")))
-    words = spark.sparkContext.broadcast(build_filter(entries, "key"))
+    by_key: dict[str, tuple[int, str, str]] = {}
+    for verdict, host, path in rules:
+        rule = (len(host + path), host + path, verdict)
+        by_key[f"rule {host}{path}"] = max(rule, by_key.get(f"rule {host}{path}", rule))
+    listed_at = in_scratch(spark, "listed-urls")
+    listed.select(F.concat(F.lit("url "), F.col(listed_col)).alias("key")).where("key is not null").distinct().write.parquet(listed_at)
+    urls = spark.read.schema("key string").parquet(listed_at)
+    known = spark.createDataFrame([(k,) for k in by_key] or [(None,)], "key string").where("key is not null")
+    shared = spark.sparkContext.broadcast((build_filter(urls.unionByName(known), "key"), by_key))
 
     lengths = sorted({len(path) for _, _, path in rules})
     own = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -108,16 +128,15 @@ def filter_urls(
     )
     rule_keys = F.flatten(F.transform(suffixes, lambda s: F.transform(heads, lambda p: F.concat(F.lit("rule "), s, p))))
     keys = F.array_append(rule_keys, F.concat(F.lit("url "), canonical(F.col("host"), F.col("path"))))
-    keyed = own.withColumn("keys", F.array_distinct(keys)).withColumn("at", F.monotonically_increasing_id())
-    tried = possible(keyed.withColumn("h", F.transform("keys", lambda k: F.xxhash64(k))), words)
-
-    none = F.lit(None).cast("string")
-    missed = tried.where(F.size("hits") == 0).select("id", "host", "path", none.alias("rule"), F.lit(default).alias("verdict"))
-    found = (
-        tried.where(F.size("hits") > 0).select("at", "id", "host", "path", F.explode("hits").alias("key")).join(entries, "key", "left")
-        .groupBy("at").agg(
-            F.first("id").alias("id"), F.first("host").alias("host"), F.first("path").alias("path"),
-            F.max(F.when(F.col("verdict").isNotNull(), F.struct(F.coalesce(F.length("rule"), F.lit(-1)).alias("n"), "rule", "verdict"))).alias("best"),
-        ).select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    # The URL's key stays last: a rule's key never equals it.
+    keyed = own.withColumn("keys", F.array_distinct(keys))
+    # Written, so that texts are parsed and keys are tried once.
+    tried_at = in_scratch(spark, "tried-urls")
+    tried = possible(keyed.withColumn("h", F.transform("keys", lambda k: F.xxhash64(k))), shared)
+    tried.write.parquet(tried_at)
+    tried = spark.read.schema(tried.schema).parquet(tried_at)
+    settled = tried.where("key is null").select("id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    found = tried.where("key is not null").join(urls.withColumn("hit", F.lit(listed_verdict)), "key", "left").select(
+        "id", "host", "path", "rule", F.coalesce("hit", F.lit(default)).alias("verdict")
     )
-    return found.unionByName(missed).withColumnRenamed("id", id_col)
+    return settled.unionByName(found).withColumnRenamed("id", id_col)

@@ -241,3 +241,15 @@ def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
     assert out.columns == docs.columns
     got = sorted((r.text or "", -1 if r.doc_id is None else r.doc_id) for r in out.collect())
     assert got == sorted([(a, 1), (b, 2), (c, 0), (d, -1), ("", 3)])
+
+
+def test_url_filter_with_a_crowded_rule_and_a_crowded_url(spark):
+    """Pages under a rule never reach the join, and one listed URL may have any number of pages."""
+    rows = [(i, f"http://h{i}.net/x") for i in range(200)] + [(200 + i, "https://www.listed.com/a/") for i in range(200)] + [(400, "http://free.com/a")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    listed = spark.createDataFrame([("listed.com/a",), ("h5.net/x",)], "canonical string")
+    out = url_filter.filter_urls(pages, listed, [("allow", "net", "/"), ("block", "net", "/")], default="allow")
+    got = {r.page_id: (r.rule, r.verdict) for r in out.collect()}
+    assert got == {**{i: ("net/", "block") for i in range(200)}, **{200 + i: (None, "block") for i in range(200)}, 400: (None, "allow")}
+    assert url_filter.filter_urls(pages, listed.limit(0), []).where("verdict <> 'allow'").count() == 0
+    assert url_filter.filter_urls(pages.limit(0), listed, []).count() == 0
