@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import TwoFilters, merge_sections, section_rows, words_for
-from .common import in_scratch, parts, text_of
+from .common import drop_scratch, in_scratch, parts, text_of
 from .rows import as_rows, binary_texts, field, row_type, slices
 
 BLANK = b" \t\n\v\f\r"
@@ -95,10 +95,12 @@ def dedup_lines(
     """``row`` (the carried columns, which include id and text), ``n_lines, n_dropped`` long, ``kept`` string."""
     spark = docs.sparkSession
 
+    used: list[str] = []
+
     def written(df: DataFrame, name: str) -> DataFrame:
-        path = in_scratch(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        used.append(in_scratch(spark, name))
+        df.write.parquet(used[-1])
+        return spark.read.schema(df.schema).parquet(used[-1])
 
     pairs = written(suspects(docs, id_col, text_col, min_chars).distinct(), "line-suspects")
     # Of a struct, null sorts first and counts: a null id is the smallest document.
@@ -109,6 +111,8 @@ def dedup_lines(
         pairs.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "h").agg(F.collect_list("digest").alias("lost")),
         "line-losses",
     ).select(F.col("id").alias("lost_id"), F.col("h").alias("lost_h"), "lost")
+    for path in used[:-1]:
+        drop_scratch(spark, path)
     text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
     rows = as_rows(docs, carry).withColumn("id", F.col("row").getField(id_col)).withColumn("h", F.xxhash64(text))
     joined = rows.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("h") == F.col("lost_h")), "left").select("row", "lost")

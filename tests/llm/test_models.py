@@ -230,6 +230,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(map(str, run.collect())) == sorted(map(str, frames[5].collect()))
 
 
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Empty documents, labels and benchmark; no ``n_chars``; columns named like those that the stages use inside."""
+    schema = "doc_id bigint, text string, source string, lang string, row string, kept string, number int, `__kept` int"
+    for name, kind in (("documents", schema), ("labels", "doc_id bigint, quality int, toxic int"), ("benchmark", "item_id bigint, text string")):
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    rows = [(1, "some words here", "a", None, "r", "k", 1, 2), (1, "some words here", "a", None, "r", "k", 1, 2), (None, None, None, None, None, None, None, None), (2, "other words entirely, and more", "b", "x", "s", "l", 3, 4)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "source", "lang", "row", "kept", "number", "__kept"], name
+    assert sorted((r.doc_id or 0, r.text, r.row, r["__kept"]) for r in docs.collect()) == [(0, "", None, None), (1, "some words here", "r", 2), (2, "other words entirely, and more", "s", 4)]
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
     """Repeated rows, one id with two texts, and copies without an id."""
     rng = random.Random(8)
