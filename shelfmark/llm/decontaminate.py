@@ -14,7 +14,6 @@ rows count as they stand: an item id once, each document row for itself. Other c
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 import numpy as np
@@ -215,21 +214,3 @@ def find_contamination(
     return rows.select("row", "n_words", n_hit.alias("n_hit"), F.array_sort("items").alias("items")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
     )
-
-
-def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[str, str | None]], window: int = WINDOW) -> list[tuple]:
-    """The contract word by word, for tests."""
-    tests = windows([(str(i), t.encode()) for i, t in items if t is not None], window)
-    lengths = sorted({n for n, _ in tests.values()})
-    out = []
-    for doc, text in docs:
-        words = words_of((text or "").encode())
-        hit, own = set(), set()
-        for n in lengths:
-            for i in range(len(words) - n + 1):
-                if found := tests.get(b" " + b" ".join(words[i : i + n]) + b" "):
-                    hit |= set(range(i, i + n))
-                    own |= found[1]
-        digest = hashlib.sha256(",".join(sorted(own)).encode()).hexdigest()
-        out.append((doc, len(words), len(hit), len(own), digest, len(hit) > 0 and 20 * len(hit) >= len(words)))
-    return out

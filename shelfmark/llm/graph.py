@@ -59,19 +59,3 @@ def smallest(labels: DataFrame, ids: DataFrame) -> DataFrame:
     joined = ids.join(labels, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = joined.groupBy("component").agg(F.min("id").alias("component_id"))
     return joined.join(least, "component").select("node", "component_id")
-
-
-def brute_force(nodes, links) -> dict:
-    """Smallest reachable node of each node, for tests."""
-    root = {n: n for n in nodes}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for a, b in links:
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return {n: find(n) for n in nodes}

@@ -22,7 +22,6 @@ given as bytes. Other columns are carried or ignored as asked.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -382,19 +381,3 @@ def remove_repeats(
             )
 
     return met.mapInArrow(cut, f"row {row_type(docs, carry)}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-
-
-def brute_force(docs: list[tuple[int, bytes]], length: int = LENGTH) -> list[tuple]:
-    """Window by window, for tests; documents in order."""
-    seen: set[bytes] = set()
-    out = []
-    for doc, text in docs:
-        gone = bytearray(len(text))
-        for k in range(len(text) - length + 1):
-            if (w := text[k : k + length]) in seen:
-                gone[k : k + length] = b"\1" * length
-            seen.add(w)
-        kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
-        spans = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
-        out.append((doc, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
-    return out

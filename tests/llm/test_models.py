@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark.llm import embedding_dedup, lm_score, quality, url_filter
-from shelfmark.llm.graph import brute_force as reach
+from tests.llm.brute import reach
 from tests.llm.test_texts import frame, texts
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import bpe, decontaminate, line_dedup, simhash, suffix_dedup, token_files
 from shelfmark.llm.common import in_scratch, tokenizer_file
-from shelfmark.llm.graph import brute_force as reach
 from shelfmark.llm.graph import components, smallest
 from shelfmark.llm.suffix_sort import sort_rows
+from tests.llm import brute
+from tests.llm.brute import reach
 
 CLASH = "row string, id string, n_words int, kept string, component_id int, spans int, lost int, start int, h int"
 
@@ -73,7 +74,7 @@ def test_decontamination(spark, block):
     bench = spark.createDataFrame(items, "item_id string, text string")
     found = decontaminate.find_contamination(frame(spark, docs + docs[9:12]), bench, carry=["doc_id", "text"], block_bytes=block)
     got = found.select("row.doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.array_join("items", ","), 256), "contaminated").collect()
-    want = decontaminate.brute_force(docs + docs[9:12], [i for i in items if i[0] is not None])
+    want = brute.contamination(docs + docs[9:12], [i for i in items if i[0] is not None])
     assert sorted(map(tuple, got)) == sorted(want)
     assert any(w[5] for w in want) and not all(w[5] for w in want)
 
@@ -87,7 +88,7 @@ def test_decontamination_of_long_strings():
         items = [(str(k), line(rng.randint(0, 40))) for k in range(8)]
         docs = [(k, line(rng.randint(0, 90))) for k in range(12)] + [(12, items[0][1]), (13, "b " + items[1][1])]
         hits = decontaminate.Tables([(i, t.encode()) for i, t in items]).hits([t.encode() for _, t in docs])
-        for (_, n, hit, own, digest, _), (runs, found, words) in zip(decontaminate.brute_force(docs, items), hits, strict=True):
+        for (_, n, hit, own, digest, _), (runs, found, words) in zip(brute.contamination(docs, items), hits, strict=True):
             assert (n, hit, own) == (words, sum(b - a for a, b in runs), len(found))
             assert digest == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
@@ -188,7 +189,7 @@ def test_suffix_dedup(spark, hot):
     docs += [(50, docs[5][1] + "q"), (51, docs[5][1]), (52, "éé" * 200), (53, "z" + "éé" * 150)]
     out = suffix_dedup.remove_repeats(frame(spark, [(i, t or None) for i, t in docs]), carry=["doc_id", "text"], hot=hot)
     got = out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
-    want = suffix_dedup.brute_force([(i, t.encode()) for i, t in docs])
+    want = brute.repeats([(i, t.encode()) for i, t in docs])
     assert sorted(map(tuple, got)) == want
     assert sum(w[2] for w in want) > 1000
 
@@ -215,7 +216,7 @@ def test_suffix_dedup_keeps_repeated_rows_of_two_tasks(spark, hot):
 
 
 def suffix_removed_in_first(text):
-    return [suffix_dedup.brute_force([(0, text.encode())])[0][2]]
+    return [brute.repeats([(0, text.encode())])[0][2]]
 
 
 def test_deep_shallow_sort():
