@@ -76,7 +76,7 @@ def op9_token_files(spark, sf_dir):
     return token_files.checksums(token_files.read_documents(spark, path, ["doc_id", "n_tokens", "tokens"]))
 
 
-@query("op1_embedding_dedup")
+@query("op1_embedding_dedup", sql.EMBEDDING_DEDUP)
 def op1_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -93,7 +93,7 @@ def op5_quality(spark, sf_dir):
     return judged.select(F.col("row.doc_id").alias("doc_id"), "evidence", "prior", "score", "kept")
 
 
-@query("op10_suffix_dedup")
+@query("op10_suffix_dedup", sql.SUFFIX_DEDUP)
 def op10_suffix_dedup(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents"), carry=["doc_id", "text"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -79,3 +79,37 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+# Links inside labels, and the smallest id that each vector reaches.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.93),
+reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION SELECT links.a, reach.root FROM reach JOIN links ON links.b = reach.vec_id AND reach.root < links.a),
+roots AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM roots LEFT JOIN counts USING (vec_id)"""
+
+# Windows of 100 bytes in hexadecimal; a byte goes if a window over it starts earlier somewhere.
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT doc_id, i, md5_number(substring(x, 2 * i + 1, 200)) AS win FROM (SELECT doc_id, x, unnest(range(length(x) // 2 - 99)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS place FROM w) WHERE place > 1),
+starts AS (SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 100 AS fresh FROM again),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+  SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts) GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM runs),
+sums AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substring(x, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS before
+  FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(before, '') || substring(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)"""
