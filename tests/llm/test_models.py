@@ -267,3 +267,15 @@ def test_url_filter_with_a_crowded_rule_and_a_crowded_url(spark):
     assert got == {**{i: ("net/", "block") for i in range(200)}, **{200 + i: (None, "block") for i in range(200)}, 400: (None, "allow")}
     assert url_filter.filter_urls(pages, listed.limit(0), []).where("verdict <> 'allow'").count() == 0
     assert url_filter.filter_urls(pages.limit(0), listed, []).count() == 0
+
+
+def test_lm_score_without_anything_to_learn_from(spark):
+    """All documents held out, with columns named like the results and a very long text."""
+    out = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
+    rows = [(out[0], "a b"), (out[1], None), (out[2], "word " * 20_000)]
+    df = frame(spark, rows).withColumn("score", F.lit("s")).withColumn("base_score", F.lit("b")).withColumn("at", F.lit("t")).withColumn("word", F.lit("w"))
+    got = {r.id: r for r in lm_score.score_texts(df).collect()}
+    assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got.values())
+    assert {i: r.n_tokens for i, r in got.items()} == {out[0]: 3, out[1]: 1, out[2]: 20_001}
+    # Nothing is known: each token has 0.5 of 0.5.
+    assert all(abs(r.base_score) < 1e-9 and math.isfinite(r.score) for r in got.values())

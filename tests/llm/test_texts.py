@@ -287,3 +287,21 @@ def test_line_dedup_with_a_crowded_line_and_a_crowded_id(spark):
     want += [(False, 0, own[i] if i % 7 == 0 else f"{own[i % 7]}\n{own[i]}", int(i % 7 == 0)) for i in range(100, 200)]
     want += [(True, i, own[i], 0) for i in range(200, 300)] + [(True, 300 + i, own[0] if i == 5 else "", int(i < 5)) for i in range(6)]
     assert got == sorted(want)
+
+
+def test_tokens_do_not_depend_on_slices(spark, monkeypatch):
+    """Texts beyond one slice, and slices of many texts, with ids and rows that repeat: the same ids and files."""
+    rows = texts(5, 30) + [(3, "again"), (3, "again"), (None, "no id"), (99, "long word " * 400)]
+    df = frame(spark, rows)
+
+    def made():
+        out = bpe.encode_and_decode(df, carry=["doc_id", "text"]).select("row.doc_id", "row.text", "n_tokens", "ids_sha256", "decoded_sha256")
+        path = in_scratch(spark, "sliced")
+        token_files.write_tokens(df, path)
+        files = token_files.checksums(token_files.read_documents(spark, path, ["doc_id", "n_tokens", "tokens"]))
+        return sorted(map(str, out.collect())), sorted(map(str, files.collect()))
+
+    whole = made()
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    monkeypatch.setattr(token_files, "SLICE", 40)
+    assert made() == whole and len(whole[0]) == len(whole[1]) == len(rows)
