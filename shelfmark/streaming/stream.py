@@ -152,6 +152,25 @@ def index_batch(
     return store.maintain(done)
 
 
+def index_backlog(
+    cfg: PipelineConfig,
+    store: IndexStore,
+    repository: Repository,
+    messages: DataFrame | None = None,
+    pages: DataFrame | None = None,
+    predicates: tuple[JobPredicate, ...] = (),
+    **options,
+) -> Commit:
+    """Index all landed messages and pages in one commit, nothing left waiting; unreadable messages are kept with it, as in a stream."""
+    before = store.ensure().batch
+    jobs = feed_jobs(cfg, messages, pages, predicates)
+    states = page_state(pages) if pages is not None else None
+    broken = malformed_messages(messages, cfg) if messages is not None else None
+    return index_batch(
+        cfg, jobs, store, repository, 0 if before is None else before + 1, final=True, page_states=states, malformed=broken, **options
+    )
+
+
 def run_stream(
     cfg: PipelineConfig,
     store: IndexStore,

@@ -16,7 +16,7 @@ from shelfmark.plans.store import ConcurrentWriter, IndexStore
 from shelfmark.session import scratch_dir
 from shelfmark.sources.messages import read_messages
 from shelfmark.sources.repository import Repository
-from shelfmark.streaming.stream import run_stream
+from shelfmark.streaming.stream import index_backlog, run_stream
 
 NOTE = "PID STRING, doc_id STRING, note STRING, _version BIGINT"
 
@@ -205,3 +205,19 @@ def test_retention_is_a_parameter(spark):
     assert store.read("errors").count() == 1
     store.commit(store.newest(), clock=at(86401))
     assert store.read("errors").count() == 0
+
+
+def test_a_backlog_is_one_commit_with_everything_in_it(spark):
+    """Messages and pages at once: documents, errors, harvest state, terms and the messages that could not be read."""
+    store, cfg = IndexStore(spark, scratch_dir(spark, "backlog"), buckets=4, analysed=True), PipelineConfig(mode="corrected")
+    messages = spark.createDataFrame(
+        [(0, "fedora.apim.update", "p:1", "ingest", "<entry/>", at(0)), (1, "fedora.apim.update", "p:7", "ingest", "<entry/>", at(1)), (2, "fedora.apim.update", "p:1", "modifyDatastreamByValue", "<", at(2))],
+        schemas.MESSAGES,
+    )
+    listing = "<OAI-PMH><ListIdentifiers><header><identifier>oai:x:p:2</identifier></header></ListIdentifiers></OAI-PMH>"
+    pages = spark.createDataFrame([("s", 1, at(3), 200, listing)], schemas.HARVEST_PAGES)
+    commit = index_backlog(cfg, store, world(spark, {"p:1": "one", "p:2": "two"}), messages, pages)
+    assert commit.version == 1 and commit.batch == 0 and store.read("pending").count() == 0
+    assert {r["doc_id"] for r in store.read("datastreams").collect()} == {"p:1:T", "p:2:T"}
+    assert [r["doc_id"] for r in store.read("errors").collect()] == ["p:7"] and [r["msg_id"] for r in store.read("malformed").collect()] == [2]
+    assert [r["source"] for r in store.read("last_run").collect()] == ["s"] and store.lookup("postings", "two").count() == 1
