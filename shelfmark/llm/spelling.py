@@ -41,11 +41,11 @@ PLAIN, EDGE = 0, 1
 Found = tuple[int, int, str]  # near words, and the count and text of the best of them
 
 
-def words_of(text: str, doc: str, runs: re.Pattern, least: int) -> list[tuple[str, int]]:
+def words_of(text: bytes, doc: str, runs: re.Pattern, least: int) -> list[tuple[str, int]]:
     """Words of a document with their counts; one run in 31 loses a code point."""
     seed = zlib.crc32(f"{doc}:".encode())
     out = []
-    for run, n in Counter(runs.findall(text.encode().lower().decode())).items():  # bytes.lower() changes A-Z only
+    for run, n in Counter(runs.findall(text.lower().decode(errors="replace"))).items():  # of bytes: A-Z only
         h = zlib.crc32(run.encode(), seed)
         if h % DELETE_EVERY == 0:
             at = h % len(run)
@@ -71,7 +71,7 @@ def count_words(docs: DataFrame, id_col: str, text_col: str, least: int = LEAST_
 
         for batch, texts in slices(batches, "text"):
             for doc, text in zip(field(batch, "id").to_pylist(), texts.to_pylist(), strict=True):
-                for word, n in words_of(text.decode(), doc, runs, least):
+                for word, n in words_of(text, doc, runs, least):
                     held[word] += n
             if len(held) > WORDS_HELD:
                 yield flush()

@@ -29,6 +29,7 @@ from .common import drop_scratch, in_scratch
 
 K, SCALE = 5, 256
 BLOCK, QUERY_BLOCK = 16384, 4096
+BLOCK_ENTRIES = 1 << 20  # a block of long vectors holds fewer
 BLOCKS_PER_GROUP = 8  # blocks of cells that a task goes through with the same queries
 CELLS = 256
 CHUNK = 24
@@ -96,8 +97,9 @@ def blocks(reps: DataFrame, size: int, cells: bool) -> DataFrame:
                 nodes.append(node)
                 vecs.append(vec)
                 rows += 1
-                if len(nodes) >= size or rows >= 2 * size:  # the second with vectors of many lengths
-                    for d in [dim] if len(nodes) >= size else list(held):
+                full = len(nodes) >= min(size, max(BLOCK_ENTRIES // max(dim, 1), 1))
+                if full or rows >= 2 * size:  # the second with vectors of many lengths
+                    for d in [dim] if full else list(held):
                         rows -= len(held[d][0])
                         yield pa.RecordBatch.from_pylist([pack(d, *held.pop(d))], schema=schema)
         for d, (nodes, vecs) in held.items():

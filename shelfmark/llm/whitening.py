@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import drop_scratch, in_scratch
 
 COMPONENTS, SCALE, SHIFT = 16, 64, 1_000_000
-BLOCK = 8192
+BLOCK_ENTRIES = 1 << 19  # of a block of the fit list, whatever the length of its vectors
 FAN_IN = 32
 HALF = 24  # bits of the lower half of an entry, summed apart from the upper one
 MINRES_STEPS, MOST_TURNS = 8, 300
@@ -50,16 +50,17 @@ def integers(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(work, f"id {own.schema['id'].dataType.simpleString()}, dim int, x binary")
 
 
-def fit_blocks(rows: DataFrame) -> DataFrame:
+def fit_blocks(rows: DataFrame, dim: int) -> DataFrame:
     """``n, data``: the distinct vectors, a block at a time."""
+    size = max(BLOCK_ENTRIES // dim, 1)
 
     def work(batches):
         held: list[bytes] = []
         for batch in batches:
             held += batch["x"].to_pylist()
-            while len(held) >= BLOCK:
-                yield pa.RecordBatch.from_pydict({"n": pa.array([BLOCK], pa.int64()), "data": pa.array([b"".join(held[:BLOCK])], pa.binary())})
-                held = held[BLOCK:]
+            while len(held) >= size:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([size], pa.int64()), "data": pa.array([b"".join(held[:size])], pa.binary())})
+                held = held[size:]
         if held:
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(held)], pa.int64()), "data": pa.array([b"".join(held)], pa.binary())})
 
@@ -240,7 +241,7 @@ def whiten(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "emb
     common = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.col("rows").desc(), F.col("dim").desc()).first()
     dim = common["dim"] if common else 1
     rows = rows.where(F.col("dim") == dim)
-    blocks = fit_blocks(rows)
+    blocks = fit_blocks(rows, dim)
     blocks.write.parquet(fit_at)
     fit = FitList(spark.read.schema(blocks.schema).parquet(fit_at), dim)
     n, values, u, error, explained = fit.n, np.zeros(0), np.zeros((dim, 0)), 0.0, np.zeros(0)
