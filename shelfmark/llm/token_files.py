@@ -30,7 +30,7 @@ from .rows import slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Row groups of 32 MB, pages of 256 KB or 2,000 rows; the second format version has delta encodings.
 WRITER = {
     "compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 10),
