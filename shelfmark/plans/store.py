@@ -185,7 +185,7 @@ class IndexStore:
             if not key:
                 rows = rows.unionByName(changes.select(*names))
             else:
-                live, changed, cleared = newest_rows(changes, key, kinds)
+                live, changed, cleared = newest_rows(changes, key, kinds, len(deltas))
                 rows = rows.join(changed, list(key), "left_anti")
                 if cleared is not None:
                     rows = rows.join(cleared.select("PID"), "PID", "left_anti")
@@ -348,11 +348,15 @@ def with_parents(folders: set[str]) -> set[str]:
     return folders | {"/".join(f.split("/")[:3]) for f in folders}
 
 
-def newest_rows(changes: DataFrame, key: tuple[str, ...], kinds: set[str]) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def newest_rows(
+    changes: DataFrame, key: tuple[str, ...], kinds: set[str], n_deltas: int = 2
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Of the rows of some deltas: those that stand, the keys that were changed, and the PIDs that were cleared (``PID, _cleared``).
 
-    Tombstones of a commit come before its rows.
+    Tombstones of a commit come before its rows. A delta has one row per key, so a single one without tombstones stands as it is.
     """
+    if n_deltas == 1 and kinds == {ROW}:
+        return changes, changes.select(*key), None
     own = changes.where(F.col("_op") != CLEARED)
     newest = Window.partitionBy(*key).orderBy(F.col("_v").desc(), F.col("_op").desc())
     live = own.withColumn("_turn", F.row_number().over(newest)).where((F.col("_turn") == 1) & (F.col("_op") == ROW))

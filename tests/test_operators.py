@@ -1,6 +1,9 @@
 """Filters, queue order, documents, index tables, harvest state, text and plans."""
 
 import datetime as dt
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.errors import PySparkException
@@ -15,7 +18,7 @@ from shelfmark.operators import documents as docs
 from shelfmark.operators import filters, harvest, index_tables
 from shelfmark.operators.apply import count_after
 from shelfmark.operators.jobs import fan_out, fan_out_counted
-from shelfmark.operators.postings import build_postings
+from shelfmark.operators.postings import build_postings, changed_terms, postings_change
 from shelfmark.operators.skew import measure, salted_lookup
 from shelfmark.session import materialize, scratch_dir
 
@@ -355,6 +358,50 @@ def test_postings_count_terms_without_a_shuffle(spark):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_changed_terms_compare_texts_inside_their_row(spark):
+    """Random pairs of texts against a counter of each."""
+    rng = random.Random(11)
+    text = lambda: rng.choice([None, "", " ".join(rng.choice("aAbcdé1") + rng.choice(["", "x"]) for _ in range(rng.randrange(12)))])
+    rows = [(f"d{i}", "f", text(), text()) for i in range(300)]
+    rows += [(f"e{i}", "f", t, t) for i, t in enumerate(["a b", "", None])]
+    count = lambda t: Counter(w for w in re.split(r"[^a-zé0-9]+", (t or "").lower()) if w)
+    expected = {
+        ("f", w, d, count(new)[w]) for d, _, old, new in rows for w in count(old) | count(new) if count(old)[w] != count(new)[w]
+    }
+    got = changed_terms(spark.createDataFrame(rows, "doc_id string, field string, before string, after string"))
+    found = [tuple(r) for r in got.collect()]
+    assert set(found) == expected and len(found) == len(expected)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_that_stay_make_no_terms(spark):
+    """Documents written again as they were: nothing is kept of their terms; removed, renamed and new ones are told apart."""
+    fields = "doc_id string, PID string, LABEL string, CONTENT struct<_content: string>"
+    old = [("p:1:T", "p:1", "same", ("a b a",)), ("p:2:T", "p:2", "same", ("c",)), ("p:3:T", "p:3", "gone", None), ("p:4:T", "p:4", "gone", ("d",)), ("p:5:T", "p:5", "other", ("e",))]
+    new = [("p:1:T", "p:1", "same", ("a b a",)), ("p:2:T", "p:2", "same", ("c c",)), ("p:6:T", "p:6", None, ("f",)), ("p:4:T", "p:4", "gone", ("g",))]
+    objects = spark.createDataFrame([(f"p:{i}", f"p:{i}", "label") for i in range(1, 6)], "doc_id string, PID string, LABEL string")
+    streams, rows = spark.createDataFrame(old, fields), spark.createDataFrame(new, fields)
+    pids = spark.createDataFrame([("p:3",), ("p:4",)], "PID string")
+    changes = {
+        "objects": index_tables.Change(objects.where("PID = 'p:1'"), None, pids),
+        "datastreams": index_tables.Change(rows, spark.createDataFrame([("p:5:T", "p:5"), ("p:1:T", "p:1")], "doc_id string, PID string"), pids),
+    }
+    kept = []
+
+    def keep(df, name):
+        kept.extend(df.collect())
+        return df
+
+    change = postings_change(index_tables.IndexTables(objects, streams, objects.limit(0)), changes, keep)
+    content, label = "datastreams.CONTENT", "datastreams.LABEL"
+    assert sorted(tuple(r) for r in change.rows.collect()) == [(content, "c", "p:2:T", 2), (content, "f", "p:6:T", 1), (content, "g", "p:4:T", 1)]
+    assert sorted(tuple(r) for r in change.documents.collect()) == [
+        (content, "d", "p:4:T"), (content, "e", "p:5:T"), (label, "gone", "p:3:T"), (label, "other", "p:5:T"),
+        ("objects.LABEL", "label", "p:3"), ("objects.LABEL", "label", "p:4"),
+    ]
+    assert len(kept) == 9
+
+
 @pytest.mark.parametrize("value, expected", [("oai:example.org:col:1044", "col:1044"), ("oai:x", "oai:x"), ("a:b", "a:b"), ("", ""), ("abcd:e:f", "e:f"), ("oai::x", "x")])
 def test_local_identifier(spark, value, expected):
     df = spark.createDataFrame([(value,)], "v string")

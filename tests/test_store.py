@@ -117,6 +117,19 @@ def test_the_log_stays_short_and_old_folders_go(spark):
     assert content(store, store.at(commit.version - st.KEEP + 1)) == {"p:1": "4"}
 
 
+def test_a_single_delta_of_rows_is_read_as_it_is(spark):
+    """Its keys are not sorted to find the newest row of each; with tombstones or a second delta they are."""
+    store = IndexStore(spark, scratch_dir(spark, "store"), buckets=4, extra={"note": NOTE})
+    planned = lambda: store.read("note")._jdf.queryExecution().executedPlan().toString()
+    commit = store.commit(store.ensure(), changes={"note": Change(notes(spark, ("p:1", "a"), ("p:2", "b")))})
+    assert "Window" not in planned() and content(store) == {"p:1": "a", "p:2": "b"}
+    commit = store.maintain(commit, rebase_rows=1)
+    store.commit(commit, changes={"note": Change(notes(spark, ("p:2", "c"), ("p:3", "d")))})
+    assert "Window" not in planned() and content(store) == {"p:1": "a", "p:2": "c", "p:3": "d"}
+    store.commit(store.newest(), changes={"note": Change(notes(spark, ("p:3", "e")), gone(spark, "p:1"))})
+    assert "Window" in planned() and content(store) == {"p:2": "c", "p:3": "e"}
+
+
 def test_replaced_buckets_keep_what_deltas_say_of_others(spark):
     store = IndexStore(spark, scratch_dir(spark, "store"), buckets=8, extra={"note": NOTE})
     names = [f"p{i}:1" for i in range(12)]
