@@ -274,12 +274,13 @@ def apply_jobs(
         known = after.objects.schema["properties"].dataType.fieldNames()
         object_changes = documents.nested_properties(object_changes, {n: cfg.properties.get(n, "string") for n in known})
     datastream_changes = _changes(datastream_docs, DATASTREAM_COLUMNS, "CONTENT")
-    new_objects, _ = index_tables.upsert(after.objects, object_changes, writes="n")
-    new_datastreams, _ = index_tables.upsert(after.datastreams, datastream_changes, writes="n")
+    # Stored, since tables, error rows and search terms all follow from them: the index is looked up once for their versions.
     rows = {
-        "objects": index_tables.upserted(after.objects, object_changes, writes="n"),
-        "datastreams": index_tables.upserted(after.datastreams, datastream_changes, writes="n"),
+        "objects": keep(index_tables.upserted(after.objects, object_changes, writes="n"), "object-rows"),
+        "datastreams": keep(index_tables.upserted(after.datastreams, datastream_changes, writes="n"), "datastream-rows"),
     }
+    new_objects = index_tables.replaced(after.objects, rows["objects"])
+    new_datastreams = index_tables.replaced(after.datastreams, rows["datastreams"])
     changes = {
         "objects": Change(rows["objects"], None, pids),
         "datastreams": Change(rows["datastreams"], streams if mode == CORRECTED else None, pids),

@@ -57,12 +57,16 @@ def upsert(
     ``changes`` has one row per key and the columns of ``current`` without ``_version``; ``writes`` names a column with the
     number of writes the row stands for (1 without it). Returns the new table and ``(key, created, _version)`` per change.
     """
+    written = upserted(current, changes, key, writes)
+    return replaced(current, written, key), written.select(key, "created", "_version")
+
+
+def replaced(current: DataFrame, written: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The table with the ``upserted`` rows in place of those of the same key."""
     columns = [c for c in current.columns if c != "_version"]
     # Full rows on the left keep their side unshuffled when the changed keys are few.
-    kept = current.join(changes.select(key), key, "left_anti").select(*columns, "_version")
-    written = upserted(current, changes, key, writes)
-    table = kept.unionByName(written.select(*columns, "_version"))
-    return table, written.select(key, "created", "_version")
+    kept = current.join(written.select(key), key, "left_anti").select(*columns, "_version")
+    return kept.unionByName(written.select(*columns, "_version"))
 
 
 def delete_cascade(tables: IndexTables, pids: DataFrame) -> IndexTables:

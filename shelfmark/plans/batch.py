@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmark import schemas
@@ -20,8 +21,22 @@ from shelfmark.sources.repository import Repository
 
 def read_feed(messages: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """(usable, malformed) of the raw messages that pass the topic, selector and text filters."""
-    selected = msg.message_selector(msg.topic_filter(msg.text_messages(messages), cfg.topic_filter), cfg.message_selector)
-    return msg.split_malformed(msg.parse_atom(selected), cfg.mode, cfg.rules)
+    return msg.split_malformed(_parsed(messages, cfg), cfg.mode, cfg.rules)
+
+
+def _parsed(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return msg.parse_atom(msg.message_selector(msg.topic_filter(msg.text_messages(messages), cfg.topic_filter), cfg.message_selector))
+
+
+def read_feed_once(messages: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """The same, with the messages read and their bodies parsed a single time: what is left of them is written to the scratch folder.
+
+    Bodies are kept of malformed messages only.
+    """
+    judged = msg.judge_messages(_parsed(messages, cfg), cfg.mode, cfg.rules)
+    body = F.when(F.col("reason").isNotNull(), F.col("body")).alias("body")
+    kept = materialize(judged.select("msg_id", "topic", "pid", "method_name", body, "arrival", "dsid", "reason"), "messages")
+    return kept.where(F.col("reason").isNull()), kept.where(F.col("reason").isNotNull())
 
 
 def message_jobs(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -29,9 +44,9 @@ def message_jobs(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return derive_jobs(read_feed(messages, cfg)[0], cfg.rules, cfg.delay_unit_s)
 
 
-def malformed_messages(messages: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """The messages among them that give no jobs because they cannot be read, with the ``reason``."""
-    return read_feed(messages, cfg)[1].select(*StructType.fromDDL(schemas.MALFORMED).fieldNames())
+def malformed_rows(malformed: DataFrame) -> DataFrame:
+    """Malformed messages as they are kept, with the ``reason``."""
+    return malformed.select(*StructType.fromDDL(schemas.MALFORMED).fieldNames())
 
 
 def feed_jobs(
@@ -39,9 +54,12 @@ def feed_jobs(
     messages: DataFrame | None = None,
     pages: DataFrame | None = None,
     predicates: tuple[JobPredicate, ...] = (),
+    usable: DataFrame | None = None,
 ) -> DataFrame:
-    """All jobs of both feeds that pass the configured and the given predicates."""
+    """All jobs of both feeds that pass the configured and the given predicates; ``usable`` are messages whose bodies have been parsed."""
     feeds = []
+    if usable is not None:
+        feeds.append(derive_jobs(usable, cfg.rules, cfg.delay_unit_s))
     if messages is not None:
         feeds.append(message_jobs(messages, cfg))
     if pages is not None:

@@ -88,9 +88,14 @@ def _malformed(mode: str, rules: tuple[JobRule, ...]) -> Column:
     )
 
 
+def judge_messages(parsed: DataFrame, mode: str = "reference", rules: tuple[JobRule, ...] = DEFAULT_RULES) -> DataFrame:
+    """Add the ``reason`` why a message cannot be used: a broken body, a missing method name or pid; null for a usable one."""
+    return parsed.withColumn("reason", _malformed(mode, rules))
+
+
 def split_malformed(
     parsed: DataFrame, mode: str = "reference", rules: tuple[JobRule, ...] = DEFAULT_RULES
 ) -> tuple[DataFrame, DataFrame]:
     """(usable, malformed) messages: a broken body, a missing method name or pid is set aside with its ``reason``, the rest goes on."""
     reason = _malformed(mode, rules)
-    return parsed.where(reason.isNull()), parsed.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return parsed.where(reason.isNull()), judge_messages(parsed, mode, rules).where(F.col("reason").isNotNull())

@@ -27,7 +27,7 @@ from shelfmark.operators.harvest import latest_page, save_last_run
 from shelfmark.operators.jobs import union_jobs
 from shelfmark.operators.index_tables import Change
 from shelfmark.operators.postings import postings_change
-from shelfmark.plans.batch import feed_jobs, malformed_messages, run_jobs
+from shelfmark.plans.batch import feed_jobs, malformed_rows, read_feed_once, run_jobs
 from shelfmark.plans.store import Commit, IndexStore
 from shelfmark.session import empty_frame, materialize, scratch_scope
 from shelfmark.sources.pages import page_state
@@ -163,12 +163,29 @@ def index_backlog(
 ) -> Commit:
     """Index all landed messages and pages in one commit, nothing left waiting; unreadable messages are kept with it, as in a stream."""
     before = store.ensure().batch
-    jobs = feed_jobs(cfg, messages, pages, predicates)
-    states = page_state(pages) if pages is not None else None
-    broken = malformed_messages(messages, cfg) if messages is not None else None
-    return index_batch(
-        cfg, jobs, store, repository, 0 if before is None else before + 1, final=True, page_states=states, malformed=broken, **options
-    )
+    return _index_feeds(cfg, store, repository, 0 if before is None else before + 1, messages, pages, predicates, final=True, **options)
+
+
+def _index_feeds(
+    cfg: PipelineConfig,
+    store: IndexStore,
+    repository: Repository,
+    batch_id: int,
+    messages: DataFrame | None,
+    pages: DataFrame | None,
+    predicates: tuple[JobPredicate, ...],
+    **options,
+) -> Commit | None:
+    """``index_batch`` of raw messages and pages. Messages are read once, for their jobs and for those that are malformed."""
+    previous = store.ensure().batch
+    if previous is not None and batch_id <= previous:
+        return None
+    with scratch_scope(store.spark, "micro-batch-feeds"):
+        usable, broken = read_feed_once(messages, cfg) if messages is not None else (None, None)
+        jobs = feed_jobs(cfg, None, pages, predicates, usable)
+        states = page_state(pages) if pages is not None else None
+        kept = malformed_rows(broken) if broken is not None else None
+        return index_batch(cfg, jobs, store, repository, batch_id, page_states=states, malformed=kept, **options)
 
 
 def run_stream(
@@ -193,10 +210,7 @@ def run_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = {n: batch.where(F.col(n).isNotNull()).select(f"{n}.*") for n, (df, _) in feeds.items() if df is not None}
-        jobs = feed_jobs(cfg, rows.get("message"), rows.get("page"), predicates)
-        states = page_state(rows["page"]) if "page" in rows else None
-        broken = malformed_messages(rows["message"], cfg) if "message" in rows else None
-        index_batch(cfg, jobs, store, repository, batch_id, page_states=states, clock=clock_of(trigger), malformed=broken, **options)
+        _index_feeds(cfg, store, repository, batch_id, rows.get("message"), rows.get("page"), predicates, clock=clock_of(trigger), **options)
 
     if clock_of(trigger) == WALL:
         wrapped.append(_ticks(store.spark, wrapped[0], TICK_S))

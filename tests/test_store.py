@@ -14,8 +14,10 @@ from shelfmark.operators.postings import document_terms
 from shelfmark.plans import store as st
 from shelfmark.plans.store import ConcurrentWriter, IndexStore
 from shelfmark.session import scratch_dir
+from shelfmark.sources import messages as msg
 from shelfmark.sources.messages import read_messages
 from shelfmark.sources.repository import Repository
+from shelfmark.streaming import stream
 from shelfmark.streaming.stream import index_backlog, run_stream
 
 NOTE = "PID STRING, doc_id STRING, note STRING, _version BIGINT"
@@ -234,3 +236,30 @@ def test_a_backlog_is_one_commit_with_everything_in_it(spark):
     assert {r["doc_id"] for r in store.read("datastreams").collect()} == {"p:1:T", "p:2:T"}
     assert [r["doc_id"] for r in store.read("errors").collect()] == ["p:7"] and [r["msg_id"] for r in store.read("malformed").collect()] == [2]
     assert [r["source"] for r in store.read("last_run").collect()] == ["s"] and store.lookup("postings", "two").count() == 1
+
+
+def test_bodies_are_parsed_once_and_versions_looked_up_once(spark, monkeypatch):
+    """Jobs and malformed messages come from one parse; the written rows, on which errors and terms depend, from one look-up."""
+    calls, outcomes, parse, run = [], [], msg.parse_atom, stream.run_jobs
+
+    def counted(messages):
+        calls.append(messages)
+        return parse(messages)
+
+    def seen(*args, **options):
+        outcome = run(*args, **options)
+        plans = [outcome.changes[t].rows._jdf.queryExecution().executedPlan().toString() for t in ("objects", "datastreams")]
+        outcomes.append("Join" in "".join(plans))
+        return outcome
+
+    monkeypatch.setattr(msg, "parse_atom", counted)
+    monkeypatch.setattr(stream, "run_jobs", seen)
+    store, cfg = IndexStore(spark, scratch_dir(spark, "once"), buckets=4, analysed=True), PipelineConfig(mode="corrected")
+    bodies = [("p:1", "ingest", "<entry/>"), ("p:2", "modifyDatastreamByValue", "<"), (None, "ingest", "<entry/>"), ("p:2", "ingest", "<")]
+    rows = [(i, "fedora.apim.update", p, m, b, at(i)) for i, (p, m, b) in enumerate(bodies)]
+    index_backlog(cfg, store, world(spark, {"p:1": "one", "p:2": "two"}), spark.createDataFrame(rows, schemas.MESSAGES))
+    assert len(calls) == 1 and outcomes == [False]
+    malformed = sorted((r["msg_id"], r["topic"], r["body"], r["reason"]) for r in store.read("malformed").collect())
+    assert malformed == [(1, "fedora.apim.update", "<", "body is not well-formed"), (2, "fedora.apim.update", "<entry/>", "no pid")]
+    assert {(r["doc_id"], r["_version"]) for r in store.read("datastreams").collect()} == {("p:1:T", 1), ("p:2:T", 1)}
+    assert {r["doc_id"] for r in store.read("postings").where("term = 'two'").collect()} == {"p:2:T"}
